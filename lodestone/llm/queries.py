@@ -1,12 +1,13 @@
 """Queries of this subpackage, and SQL for those that SQL can express."""
 
-from lodestone.llm import decontaminate, languages, media, mixing, sanitise, secrets, sharding
+from lodestone.llm import decontaminate, languages, media, mixing, neardup, sanitise, secrets, sharding
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
     "op2_media": media.op2_media,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op5_shards": sharding.op5_shards,
+    "op6_near_duplicates": neardup.op6_near_duplicates,
     "op7_personal_data": sanitise.op7_personal_data,
     "op9_secrets": secrets.op9_secrets,
     "op10_language": languages.op10_language,
