@@ -36,6 +36,25 @@ _U = np.uint64
 END, START = _U(0x0123456789ABCDEF), _U(0xFEDCBA9876543210)
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Integers by byte plane, so that codecs see the leading zeros."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def unplanes(raw: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def sorted_planes(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences: about 5 bytes each after a codec."""
+    return planes(np.diff(keys, prepend=_U(0)))
+
+
+def unsorted_planes(raw: bytes) -> np.ndarray:
+    return np.cumsum(unplanes(raw, np.uint64), dtype=np.uint64)
+
+
 def discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
     """d(0), ..., d(GOOD_TURING), d of anything larger is (c - ABSOLUTE) / c."""
     n = [counts_of_counts.get(r, 0) for r in range(GOOD_TURING + 2)]
@@ -98,7 +117,7 @@ def pack(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([(part << 32) + number]), "ids": pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(0)[lo:hi]),
                     "lengths": [np.concatenate(lengths).astype(np.int32).tobytes()], "train": [train[lo:hi].tobytes()],
-                    "words": [words.tobytes()], "tokens": [tokens.astype(np.int32).tobytes()], "n": pa.array([len(tokens)]),
+                    "words": [sorted_planes(words)], "tokens": [planes(tokens.astype(np.int32))], "n": pa.array([len(tokens)]),
                 })
                 number += 1
 
@@ -106,8 +125,7 @@ def pack(docs: DataFrame) -> DataFrame:
 
 
 def _unpack(row: dict) -> _Block:
-    ints = np.frombuffer(row["tokens"], np.int32).astype(np.int64)
-    return _Block(np.frombuffer(row["words"], np.uint64), ints, np.frombuffer(row["lengths"], np.int32).astype(np.int64), np.frombuffer(row["train"], np.uint8).astype(bool))
+    return _Block(unsorted_planes(row["words"]), unplanes(row["tokens"], np.int32).astype(np.int64), np.frombuffer(row["lengths"], np.int32).astype(np.int64), np.frombuffer(row["train"], np.uint8).astype(bool))
 
 
 def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -128,7 +146,7 @@ def _requests(blocks: DataFrame, buckets: int) -> DataFrame:
                     full = np.flatnonzero(np.diff(cut))
                     yield pa.RecordBatch.from_pydict({
                         "bucket": pa.array(full.astype(np.int32)), "block": pa.array(np.full(len(full), row["block"])), "part": pa.array(np.full(len(full), part, np.int8)),
-                        "keys": pa.array([keys[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary()), "counts": pa.array([counts[cut[k] : cut[k + 1]].astype(np.uint32).tobytes() for k in full], pa.binary()),
+                        "keys": pa.array([sorted_planes(keys[cut[k] : cut[k + 1]]) for k in full], pa.binary()), "counts": pa.array([planes(counts[cut[k] : cut[k + 1]].astype(np.uint32)) for k in full], pa.binary()),
                     })
 
     return blocks.select("block", "lengths", "train", "words", "tokens").mapInArrow(run, "bucket int, block long, part byte, keys binary, counts binary")
@@ -140,10 +158,10 @@ def _count(table: pa.Table) -> pa.Table:
     blocks = table.column("block").to_numpy()
     order = np.argsort(blocks, kind="stable")
     rows = table.select(["keys", "counts"]).to_pylist()
-    keys = [np.frombuffer(rows[i]["keys"], np.uint64) for i in order]
+    keys = [unsorted_planes(rows[i]["keys"]) for i in order]
     sizes = np.array([len(k) for k in keys])
     every, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    counts = np.concatenate([np.frombuffer(rows[i]["counts"], np.uint32) for i in order])
+    counts = np.concatenate([unplanes(rows[i]["counts"], np.uint32) for i in order])
     total = np.bincount(which, counts, len(every)).astype(np.int64)
     own = np.zeros(len(which), np.uint8)
     own[first] = 1
@@ -154,8 +172,8 @@ def _count(table: pa.Table) -> pa.Table:
     return pa.table({
         "kind": pa.array([0] + [1] * n, pa.int8()), "part": pa.array([part] * (n + 1), pa.int8()), "bucket": pa.array([bucket] * (n + 1), pa.int32()),
         "block": pa.array([None, *blocks[order].tolist()], pa.int64()),
-        "keys": pa.array([every[seen].tobytes()] + [None] * n, pa.binary()),
-        "counts": pa.array([total[seen].astype(np.uint32).tobytes()] + [answer[a:b].astype(np.uint32).tobytes() for a, b in zip(at, at[1:])], pa.binary()),
+        "keys": pa.array([sorted_planes(every[seen])] + [None] * n, pa.binary()),
+        "counts": pa.array([planes(total[seen].astype(np.uint32))] + [planes(answer[a:b].astype(np.uint32)) for a, b in zip(at, at[1:])], pa.binary()),
         "own": pa.array([None] + [np.packbits(own[a:b]).tobytes() for a, b in zip(at, at[1:])], pa.binary()),
     })
 
@@ -167,7 +185,7 @@ def _statistics(tables: DataFrame) -> DataFrame:
         total: dict[tuple[int, int], int] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                c = np.frombuffer(counts, np.uint32)
+                c = unplanes(counts, np.uint32)
                 few = np.bincount(np.minimum(c, GOOD_TURING + 2), minlength=GOOD_TURING + 3)
                 for r, n in [*((r, int(few[r])) for r in range(1, GOOD_TURING + 2)), (-1, len(c)), (-2, int(c.sum(dtype=np.int64)))]:
                     total[part, r] = total.get((part, r), 0) + n
@@ -199,7 +217,7 @@ class Model:
 
 def _answers(table: pa.Table, part: int) -> tuple[np.ndarray, np.ndarray]:
     rows = sorted((r for r in table.to_pylist() if r["part"] == part), key=lambda r: r["bucket"])
-    counts = [np.frombuffer(r["counts"], np.uint32) for r in rows]
+    counts = [unplanes(r["counts"], np.uint32) for r in rows]
     own = [np.unpackbits(np.frombuffer(r["own"], np.uint8))[: len(c)] for r, c in zip(rows, counts)]
     return np.concatenate(counts).astype(np.int64), np.concatenate(own).astype(bool)
 
@@ -237,15 +255,15 @@ def _partial(model: Model, buckets: int, kind: str):
         cut = _cuts(keys, buckets)
         full = np.flatnonzero(np.diff(cut))
         k = len(full)
-        pack_ = lambda x: [x[order[cut[i] : cut[i + 1]]].tobytes() for i in full]
+        pack_ = lambda x: [planes(x[order[cut[i] : cut[i + 1]]]) for i in full]
         return pa.table({
             "kind": pa.array([0] + [1] * k, pa.int8()), "block": pa.array([row["block"]] * (k + 1)), "bucket": pa.array([None, *full.tolist()], pa.int32()),
             "ids": pa.array([row["ids"]] + [None] * k, blocks.schema.field("ids").type),
             "train": pa.array([row["train"]] + [None] * k, pa.binary()),
             "a": pa.array([np.stack([b.lengths.astype(float), add(c[b.tokens] > 0), add(base[b.tokens]), add(value[b.which])]).tobytes(), *pack_(a_sum)], pa.binary()),
-            "b": pa.array([np.stack([pairs // (len(ch) + 1), place[pairs % (len(ch) + 1)], times]).astype(np.int32).tobytes(), *pack_(b_sum)], pa.binary()),
+            "b": pa.array([np.stack([pairs // (len(ch) + 1), place[pairs % (len(ch) + 1)], times]).astype(np.int32).ravel().tobytes(), *pack_(b_sum)], pa.binary()),
             "c": pa.array([None, *pack_(ch.astype(np.int64))], pa.binary()),
-            "keys": pa.array([None, *(keys[cut[i] : cut[i + 1]].tobytes() for i in full)], pa.binary()),
+            "keys": pa.array([None, *(sorted_planes(keys[cut[i] : cut[i + 1]]) for i in full)], pa.binary()),
         })
 
     return run, f"kind byte, block long, bucket int, ids array<{kind}>, train binary, a binary, b binary, c binary, keys binary"
@@ -254,10 +272,10 @@ def _partial(model: Model, buckets: int, kind: str):
 def _alpha(table: pa.Table) -> pa.Table:
     """One bucket of contexts: log10 of the backoff weight of each context that a block asked for."""
     rows = sorted(table.to_pylist(), key=lambda r: r["block"])
-    keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+    keys = [unsorted_planes(r["keys"]) for r in rows]
     _, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = {x: np.bincount(which, np.concatenate([np.frombuffer(r[x]) for r in rows])) for x in "ab"}
-    c = np.concatenate([np.frombuffer(r["c"], np.int64) for r in rows])[first]
+    total = {x: np.bincount(which, np.concatenate([unplanes(r[x], np.float64) for r in rows])) for x in "ab"}
+    c = np.concatenate([unplanes(r["c"], np.int64) for r in rows])[first]
     left = np.maximum(1 - total["a"] / np.maximum(c, 1), 1e-300)
     alpha = np.log10(left / np.maximum(1 - total["b"], 1e-300))[which]
     at = np.append(0, np.cumsum([len(k) for k in keys]))

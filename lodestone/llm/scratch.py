@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,5 +47,7 @@ def saved(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
 
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the first frees the plans, the second what only they held
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
