@@ -28,8 +28,12 @@ def retrieval_metrics(retrieved: Column, gold: Column, ks: tuple[int, ...] = CUT
 
 def evidence_recall(retrieved: Column, evidence: Column, ks: tuple[int, ...] = CUTOFFS) -> dict[str, Column]:
     """evidence: array of arrays of documents, any of which serves; repeated entries count each."""
-    r = unique_ids(retrieved)
-    return {f"evidence_recall_{k}": F.when(F.size(evidence) > 0, F.size(F.filter(evidence, lambda e, k=k: F.arrays_overlap(e, F.slice(r, 1, k)))) / F.size(evidence)).otherwise(0.0) for k in ks}
+    r, n = unique_ids(retrieved), F.size(evidence)
+
+    def found(k: int) -> Column:
+        return F.size(F.filter(evidence, lambda e: F.arrays_overlap(e, F.slice(r, 1, k))))
+
+    return {f"evidence_recall_{k}": F.when(n > 0, found(k) / n).otherwise(0.0) for k in ks}
 
 
 def set_scores(predicted: Column, reference: Column) -> dict[str, Column]:

@@ -39,14 +39,14 @@ def containment(docs: DataFrame, items: DataFrame, width: int = 5) -> DataFrame:
     """(doc_id, item_id) where the document's key holds the item's. An item's first `width` normalised words are looked
     up among the runs of that many words of every document, an equi-join, before texts are compared."""
 
-    def runs(c: Column, every: bool) -> Column:
-        words = F.filter(F.split(X.normalize_text(F.lower(c)), " "), lambda w: X.normalized_key(w) != "")
-        keys = F.transform(words, X.normalized_key)
-        last = F.greatest(F.size(keys) - width, F.lit(0)) if every else F.lit(0)
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.array_join(F.slice(keys, i, width), "")))
-
-    d = docs.select("doc_id", "text", F.explode(runs(F.col("text"), True)).alias("run")).withColumn("h", F.xxhash64("run")).drop("run")
-    i = items.select("item_id", X.normalized_key(F.col("text")).alias("item_key"), F.xxhash64(F.element_at(runs(F.col("text"), False), 1)).alias("h"))
+    def keyed(df: DataFrame) -> DataFrame:
+        words = F.split(X.normalize_text(F.lower(F.col("text"))), " ")
+        return df.withColumn("keys", F.filter(F.transform(words, lambda w: F.regexp_replace(w, "[^a-z0-9]+", "")), lambda w: w != ""))
+
+    run = lambda at: F.xxhash64(F.array_join(F.slice("keys", at, F.lit(width)), ""))
+    last = F.greatest(F.size("keys") - width, F.lit(0)) + 1
+    d = keyed(docs).select("doc_id", "text", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), last), run))).alias("h"))
+    i = keyed(items).select("item_id", F.array_join("keys", "").alias("item_key"), run(F.lit(1)).alias("h"))
     return d.join(F.broadcast(i) if items.count() <= 10_000 else i, "h").filter(F.contains(X.normalized_key(F.col("text")), F.col("item_key"))).select("doc_id", "item_id").distinct()
 
 

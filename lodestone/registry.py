@@ -32,10 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # SQL of the text scalars.
-NORM = r"trim(regexp_replace(translate(coalesce({c}, ''), ' ‘’“”', ' ''''""'), '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g'))"
+NORM = r"""trim(regexp_replace(translate(coalesce({c}, ''), ' ‘’“”', ' ''''""'), '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g'))"""
 KEY = "regexp_replace(lower(" + NORM + "), '[^a-z0-9]+', '', 'g')"
 TERMS = r"regexp_extract_all(translate(lower(coalesce({c}, '')), 'äçèéêíñóöü', 'aceeeinoou'), '[\p{{L}}\p{{N}}]+')"
-ANSWER = r"list_filter(string_split(trim(regexp_replace(regexp_replace(lower(coalesce({c}, '')), '[!-/:-@\[-`{{-~]', ' ', 'g'), '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), ' '), t -> t NOT IN ('', 'a', 'an', 'the'))"
+ANSWER = r"list_filter(string_split(trim(regexp_replace(regexp_replace(lower(coalesce({c}, '')), '[!-/:-@\[-`{{-~]', ' ', 'g'), '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), ' '), lambda t: t NOT IN ('', 'a', 'an', 'the'))"
 n_, k_, t_, a_ = (lambda c, s=s: s.format(c=c) for s in (NORM, KEY, TERMS, ANSWER))
 
 
@@ -52,7 +52,7 @@ def content_hash(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", X.stable_hash(F.col("source"), X.normalize_text(F.col("text"))).alias("content_hash"))
 
 
-@query(r"""SELECT item_id, array_to_string(list_transform(list_distinct_ordered, t -> '"' || t || '"'), ' OR ') AS expression FROM (
+@query(r"""SELECT item_id, array_to_string(list_transform(list_distinct_ordered, lambda t: '"' || t || '"'), ' OR ') AS expression FROM (
   SELECT item_id, (SELECT list(t ORDER BY p) FROM (SELECT t, min(p) AS p FROM (SELECT unnest(w) AS t, unnest(range(len(w))) AS p) GROUP BY t)) AS list_distinct_ordered
   FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark))""")
 def match_expressions(spark, sf_dir):
@@ -96,7 +96,7 @@ def kb_membership_sets(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id").join(relational.split_membership(l, "doc_id", "s"), "doc_id", "left").select("doc_id", F.coalesce("split_membership", F.lit("")).alias("split_membership"))
 
 
-@query("SELECT count(*) AS n, count(DISTINCT doc_id) AS ids, count_if(doc_id IS NULL) AS blank FROM documents")
+@query("SELECT count(*) AS n, count(DISTINCT doc_id) AS ids, count_if(doc_id IS NULL)::BIGINT AS blank FROM documents")
 def unique_ids(spark, sf_dir):
     return table(spark, sf_dir, "documents").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids"), F.count_if(F.col("doc_id").isNull()).alias("blank"))
 
@@ -136,10 +136,10 @@ def successful_responses(spark, sf_dir):
 # Profiles.
 
 
-@query("SELECT lang, count(*) AS n, avg(n_chars) AS mean, quantile_cont(n_chars, 0.5) AS median, quantile_cont(n_chars, 0.95) AS p95, min(n_chars) AS least, max(n_chars) AS most FROM documents GROUP BY 1")
+@query("SELECT lang, count(*) AS n, avg(n_chars) AS mean, quantile_cont(n_chars, 0.5) AS median, round(quantile_cont(n_chars, 0.95), 6) AS p95, min(n_chars) AS least, max(n_chars) AS most FROM documents GROUP BY 1")
 def length_profile(spark, sf_dir):
     c = F.col("n_chars")
-    return table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.avg(c).alias("mean"), F.percentile(c, 0.5).alias("median"), F.percentile(c, 0.95).alias("p95"), F.min(c).alias("least"), F.max(c).alias("most"))
+    return table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.avg(c).alias("mean"), F.percentile(c, 0.5).alias("median"), F.round(F.percentile(c, 0.95), 6).alias("p95"), F.min(c).alias("least"), F.max(c).alias("most"))
 
 
 @query("SELECT least(n_chars // 500, 10) AS bin, count(*) AS n FROM documents GROUP BY 1")
@@ -147,7 +147,7 @@ def length_histogram(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy(F.least(F.floor(F.col("n_chars") / 500), F.lit(10)).alias("bin")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT source || ':' || lang AS mix, count(*) AS n, count_if(n_chars > 1000) AS long_ones FROM documents GROUP BY 1")
+@query("SELECT source || ':' || lang AS mix, count(*) AS n, count_if(n_chars > 1000)::BIGINT AS long_ones FROM documents GROUP BY 1")
 def source_mix(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy(F.concat_ws(":", "source", "lang").alias("mix")).agg(F.count("*").alias("n"), F.count_if(F.col("n_chars") > 1000).alias("long_ones"))
 
@@ -195,7 +195,7 @@ def _bm25_sql(name: str, terms: list[str]) -> str:
 
 def _dense_sql(name: str, vec: int) -> str:
     return f"""{name} AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_pos) AS rank FROM (
-      SELECT v.vec_id AS doc_pos, round(list_inner_product(list_transform(v.embedding, x -> x::DOUBLE), list_transform(q.embedding, x -> x::DOUBLE)), 6) AS score
+      SELECT v.vec_id AS doc_pos, round(list_inner_product(list_transform(v.embedding, lambda x: x::DOUBLE), list_transform(q.embedding, lambda x: x::DOUBLE)), 6) AS score
       FROM embeddings v CROSS JOIN (SELECT embedding FROM embeddings WHERE vec_id = {vec}) q) ORDER BY rank LIMIT 50)"""
 
 
@@ -232,14 +232,14 @@ def dense_topk(spark, sf_dir):
 
 
 @query("""SELECT query_id, doc_pos, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_pos) AS rank FROM (
-  SELECT q.vec_id AS query_id, v.vec_id AS doc_pos, round(list_inner_product(list_transform(v.embedding, x -> x::DOUBLE), list_transform(q.embedding, x -> x::DOUBLE)), 6) AS score
+  SELECT q.vec_id AS query_id, v.vec_id AS doc_pos, round(list_inner_product(list_transform(v.embedding, lambda x: x::DOUBLE), list_transform(q.embedding, lambda x: x::DOUBLE)), 6) AS score
   FROM embeddings v CROSS JOIN (SELECT * FROM embeddings WHERE vec_id < 8) q)) WHERE rank <= 10""")
 def dense_topk_multi(spark, sf_dir):
     q = table(spark, sf_dir, "embeddings").filter("vec_id < 8").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     return retrieval.dense_search_many(_vectors(spark, sf_dir), q, 10)
 
 
-@query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, x -> x::DOUBLE * x::DOUBLE))), 6) AS norm FROM embeddings")
+@query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm FROM embeddings")
 def l2_norm_check(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(X.l2_norm(F.col("embedding")), 6).alias("norm"))
 
@@ -288,9 +288,9 @@ def tfidf_keywords(spark, sf_dir):
 # Metrics.
 
 _GOLD = """h AS (SELECT query_id, list(doc_pos ORDER BY rank) AS retrieved FROM (SELECT query_id, doc_pos, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_pos) AS rank FROM (
-  SELECT q.vec_id AS query_id, v.vec_id AS doc_pos, round(list_inner_product(list_transform(v.embedding, x -> x::DOUBLE), list_transform(q.embedding, x -> x::DOUBLE)), 6) AS score FROM embeddings v CROSS JOIN (SELECT * FROM embeddings WHERE vec_id < 8) q)) WHERE rank <= 10 GROUP BY 1),
+  SELECT q.vec_id AS query_id, v.vec_id AS doc_pos, round(list_inner_product(list_transform(v.embedding, lambda x: x::DOUBLE), list_transform(q.embedding, lambda x: x::DOUBLE)), 6) AS score FROM embeddings v CROSS JOIN (SELECT * FROM embeddings WHERE vec_id < 8) q)) WHERE rank <= 10 GROUP BY 1),
   g AS (SELECT q.vec_id AS query_id, q.label, list(v.vec_id ORDER BY v.vec_id) AS gold FROM embeddings q JOIN embeddings v ON v.label = q.label WHERE q.vec_id < 8 AND v.vec_id < 100 GROUP BY 1, 2)"""
-_M = "SELECT query_id, label, {} , coalesce(1.0::DOUBLE / list_min(list_filter(list_transform(gold, x -> list_position(retrieved, x)), p -> p > 0)), 0) AS mrr FROM h JOIN g USING (query_id)".format(
+_M = "SELECT query_id, label, {} , coalesce(1.0::DOUBLE / list_min(list_filter(list_transform(gold, lambda x: list_position(retrieved, x)), lambda p: p > 0)), 0) AS mrr FROM h JOIN g USING (query_id)".format(
     ", ".join(f"len(list_intersect(retrieved[1:{k}], gold))::DOUBLE / len(gold) AS recall_{k}, (len(list_intersect(retrieved[1:{k}], gold)) > 0)::INT::DOUBLE AS hit_{k}, (len(list_intersect(retrieved[1:{k}], gold)) = len(gold))::INT::DOUBLE AS joint_recall_{k}" for k in (1, 5, 10))
 )
 
@@ -458,7 +458,7 @@ def judge_majority(spark, sf_dir):
 
 
 @query(f"""WITH e AS (SELECT doc_id, field, count(verdict) AS n, bool_and(verdict) AS a, bool_or(verdict) AS b FROM ({_VERDICTS}) GROUP BY 1, 2)
-  SELECT doc_id, count(*) AS fields, round(count_if(n = 2 AND a = b) / count(*), 9) AS coverage, round(count_if(n = 2 AND a <> b) / count(*), 9) AS disagreement, count_if(n = 2 AND a AND b) AS true_fields FROM e GROUP BY 1""")
+  SELECT doc_id, count(*) AS fields, round(count_if(n = 2 AND a = b) / count(*), 9) AS coverage, round(count_if(n = 2 AND a <> b) / count(*), 9) AS disagreement, count_if(n = 2 AND a AND b)::BIGINT AS true_fields FROM e GROUP BY 1""")
 def judge_consensus(spark, sf_dir):
     return metrics.consensus(judge_majority(spark, sf_dir), ["doc_id"])
 
