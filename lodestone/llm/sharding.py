@@ -125,7 +125,7 @@ class ShardTable:
         if not runs:
             return base
         merged = f"{self.path}/data/{uuid.uuid4().hex}"
-        rows = self.read(base).withColumn("__shard", F.col("_metadata.file_path"))
+        rows = self.read(base, at="__shard")
         place = moved.withColumnsRenamed({"shard": "__shard", "run": "__run"})
         rows = rows.join(F.broadcast(place) if count <= 100_000 else place, "__shard").drop("__shard")
         rows.repartition(runs, "__run").write.option("compression", "zstd").partitionBy("__run").parquet(merged)
@@ -141,8 +141,8 @@ class ShardTable:
 
         return StructType.fromJson(json.loads(self._schema_json(version)))
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version. Folders are read whole and rows of shards outside the version left out by a semi-join
+    def read(self, version: int | None = None, at: str | None = None) -> DataFrame:
+        """The rows of a version; with `at`, a column of that name gives each row's file. Folders are read whole and rows of shards outside the version left out by a semi-join
         only where the version lists part of a folder."""
         version = max(self.versions(), default=0) if version is None else version
         shards = self.manifest(version)
@@ -152,11 +152,18 @@ class ShardTable:
         out = None
         for r in listed:
             every = self.spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(r["folder"])
-            if every.count() != r["n"]:
+            whole = every.count() == r["n"]
+            if at or not whole:
+                every = every.select("*", F.col("_metadata.file_path").alias(at or "__file"))
+            if not whole:
                 mine = shards.select(F.col("shard").alias("__of"))
-                every = every.join(mine, F.col("_metadata.file_path") == F.col("__of"), "left_semi")
+                every = every.join(mine, F.col(at or "__file") == F.col("__of"), "left_semi")
+                every = every if at else every.drop("__file")
             out = every if out is None else out.unionByName(every)
-        return self.spark.createDataFrame([], schema) if out is None else out
+        if out is None:
+            out = self.spark.createDataFrame([], schema)
+            out = out.withColumn(at, F.lit(None).cast("string")) if at else out
+        return out
 
     def expire(self, keep: int = 2) -> int:
         """Delete the data that only versions before the last `keep` list; gives the number of folders that went."""
@@ -199,7 +206,7 @@ def located(table: ShardTable, columns: list[str]) -> DataFrame:
     version = max(table.versions(), default=0)
     shards = table.manifest(version)
     numbered = shards.select(F.col("shard").alias("__of"), _name().alias("shard"), F.col("n_rows").alias("shard_rows"), F.col("n_bytes").alias("shard_bytes"))
-    rows = table.read(version).select(*columns, F.col("_metadata.file_path").alias("__at"))
+    rows = table.read(version, at="__at").select(*columns, "__at")
     few = shards.count() <= 100_000
     joined = rows.join(F.broadcast(numbered) if few else numbered, F.col("__at") == F.col("__of"))
     return joined.select(*columns, "shard", "shard_rows", "shard_bytes", F.lit(version).cast("long").alias("version"))
