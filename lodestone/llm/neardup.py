@@ -22,17 +22,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.components import components
-from lodestone.llm.scratch import saved
+from lodestone.llm.scratch import release_shuffles, saved
 from lodestone.llm.words import Tokens, chunks, column_bytes, mix64, ngrams, sequence_hashes, tokenise
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
 BLOCK = 128
+#: So many numbers of rows that go are sent to every executor; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 _U = np.uint64
 _ONE = _U(1)
 
@@ -77,10 +79,10 @@ def prob_min_hash(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs
     return owner.reshape(docs, registers)
 
 
-def signatures(docs: DataFrame, bands: int, rows: int, width: int, keep: list[str]) -> DataFrame:
-    """docs (text and keep) with uid, node (two longs as hex; null without words), the number of shingles, the bands'
+def signatures(docs: DataFrame, text: Column, bands: int, rows: int, width: int) -> DataFrame:
+    """docs with uid, node (two longs as hex; null without words), the number of shingles, the bands'
     hashes and the registers, four bytes each."""
-    registers = bands * rows
+    registers, keep = bands * rows, docs.columns
 
     def run(batches):
         n = 0
@@ -101,16 +103,16 @@ def signatures(docs: DataFrame, bands: int, rows: int, width: int, keep: list[st
                 small = (owner >> _U(32)).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[batch.column(k)[lo:hi] for k in range(batch.num_columns)],
+                        *[batch.column(k)[lo:hi] for k in range(1, batch.num_columns)],
                         pa.array(np.arange(n, n + hi - lo) + (part << 40)), pa.array(node, pa.string()), pa.array(np.bincount(doc, minlength=hi - lo)),
                         pa.array([x.view(np.int64) if h else [] for x, h in zip(band, has)], pa.list_(pa.int64())), pa.array([x.tobytes() if h else None for x, h in zip(small, has)], pa.binary()),
                     ],
-                    ["__text", *keep, "__uid", "__node", "__n", "__bands", "__registers"],
+                    [*keep, "__uid", "__node", "__n", "__bands", "__registers"],
                 )
                 n += hi - lo
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
-    return docs.select(F.col("text").alias("__text"), *keep).mapInArrow(run, f"__text string, {ddl}, __uid long, __node string, __n long, __bands array<long>, __registers binary")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.select(text.alias("__text"), *keep).mapInArrow(run, f"{ddl}, __uid long, __node string, __n long, __bands array<long>, __registers binary")
 
 
 def _similarities(texts: list[str], width: int):
@@ -147,20 +149,26 @@ def _families(nodes: DataFrame) -> DataFrame:
     return family.join(hub, "component").select("node", F.col("component").alias("family"), "hub", "size")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int = WORDS, bands: int = BANDS, rows: int = ROWS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The rows of docs (the columns keep) with __uid, __node and __class: rows of equal __class are near-duplicates."""
-    table = saved(signatures(docs, bands, rows, width, list(keep)), "signatures")
+def resolve(docs: DataFrame, text: Column, similarity: float = SIMILARITY, width: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """The saved rows of docs with __uid and __node, and (node, component) of the nodes that have a near-duplicate.
+    text gives a row's text from the columns of docs."""
+    table = saved(signatures(docs, text, bands, rows, width), "signatures")
     nodes = table.filter("__node IS NOT NULL").groupBy(F.col("__node").alias("node")).agg(F.first("__bands").alias("bands"), F.min("__uid").alias("__uid"))
     family = _families(nodes).join(nodes.select("node", "__uid"), "node")
-    member = family.join(table.select("__uid", "__text", "__registers"), "__uid").drop("__uid")
-    member = saved(member.withColumnsRenamed({"__text": "text", "__registers": "registers"}), "members")
+    member = family.join(table.select("__uid", text.alias("text"), F.col("__registers").alias("registers")), "__uid").drop("__uid")
+    member = saved(member, "members")
     links = saved(_hub_links(member, similarity, width), "hub-links")
     strays = saved(_unlinked(member, links, similarity), "strays")
     more = _stray_links(member, strays, similarity, width, bands * rows)
     edges = links.filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(more)
-    classes = components(edges, "classes").select(F.col("node").alias("__node"), "component")
-    found = table.drop("__bands", "__registers", "__text").join(classes, "__node", "left")
-    return found.withColumn("__class", F.coalesce("component", "__node", F.concat(F.lit("row "), F.col("__uid").cast("string")))).drop("component")
+    return table, components(edges, "classes")
+
+
+def _classed(table: DataFrame, classes: DataFrame, *columns) -> DataFrame:
+    """__uid, __class and columns of the table's rows: equal classes are near-duplicates, saved without texts."""
+    named = classes.select(F.col("node").alias("__node"), "component")
+    found = table.select("__uid", "__node", *columns).join(named, "__node", "left")
+    return saved(found.withColumn("__class", F.coalesce("component", "__node", F.concat(F.lit("row "), F.col("__uid").cast("string")))).drop("component"), "found")
 
 
 def _hub_links(member: DataFrame, similarity: float, width: int) -> DataFrame:
@@ -234,18 +242,20 @@ def _stray_links(member: DataFrame, strays: DataFrame, similarity: float, width:
 
 def classes(docs: DataFrame, **options) -> DataFrame:
     """doc_id, class_id (the class's least doc_id), class_size (rows) and n_texts (different texts) for each row."""
-    found = saved(near_duplicates(docs.select("doc_id", "text"), **options), "found")
+    found = _classed(*resolve(docs.select("doc_id", "text"), F.col("text"), **options), "doc_id")
     total = found.groupBy("__class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.countDistinct("__node").alias("n_texts"))
     return found.join(total, "__class").select("doc_id", "class_id", "class_size", "n_texts")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """docs with one row of each class: the one with the least doc_id, the first of repeated ones."""
-    packed = docs.select(F.struct("*").alias("row"), "text", "doc_id")
-    found = saved(near_duplicates(packed, keep=("row", "doc_id"), **options), "found")
+    table, near = resolve(docs.select(F.struct("*").alias("row")), F.col("row")["text"], **options)
+    found = _classed(table, near, F.col("row")["doc_id"].alias("doc_id"))
     first = found.groupBy("__class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__uid").alias("uid"))).alias("first"))
-    kept = first.select(F.col("first.uid").alias("kept"))
-    return found.join(kept, F.col("__uid") == F.col("kept"), "left_semi").select("row.*")
+    gone = saved(found.join(first, "__class").filter(F.col("__uid") != F.col("first.uid")).select(F.col("__uid").alias("gone")), "gone")
+    release_shuffles(docs.sparkSession)
+    few = gone.count() <= BROADCAST_ROWS
+    return table.select("__uid", "row").join(F.broadcast(gone) if few else gone, F.col("__uid") == F.col("gone"), "left_anti").select("row.*")
 
 
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:
