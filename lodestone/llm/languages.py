@@ -94,12 +94,12 @@ def _sums(groups: np.ndarray, which: np.ndarray, letters: np.ndarray, n: int, di
     return out
 
 
-def _blocks(batch: pa.RecordBatch, column: int):
-    _, offsets = column_bytes(batch.column(column))
-    for lo, hi in chunks(offsets, 1 << 20):
+def _blocks(column: pa.Array):
+    _, offsets = column_bytes(column)
+    for lo, hi in chunks(offsets, 1 << 19):
         while lo < hi:
-            top = min(hi, lo + 1024)
-            yield lo, top, [t or "" for t in batch.column(column)[lo:top].to_pylist()]
+            top = min(hi, lo + 512)
+            yield lo, top, [t or "" for t in column[lo:top].to_pylist()]
             lo = top
 
 
@@ -109,7 +109,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, order: int = ORDER, see
     def run(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for lo, hi, texts in _blocks(batch, 0):
+            for lo, hi, texts in _blocks(batch.column(0)):
                 langs = batch.column(1)[lo:hi].to_pylist()
                 names = sorted(set(langs))
                 at = {x: i for i, x in enumerate(names)}
@@ -131,14 +131,14 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, order: int = ORDER, see
 
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], order: int = ORDER, seed: int = SEED) -> DataFrame:
-    """docs (row struct, text) to (row, lang_pred, score)."""
+    """docs (row: a struct with text) to (row, lang_pred, score)."""
     names = list(prototypes)
     matrix = np.stack([v / np.linalg.norm(v) for v in prototypes.values()]) if names else np.zeros((0, 1))
     dimensions = matrix.shape[1]
 
     def run(batches):
         for batch in batches:
-            for lo, hi, texts in _blocks(batch, 1):
+            for lo, hi, texts in _blocks(batch.column(0).field("text")):
                 (doc, which), _, letters = _profile(texts, order)
                 v = _sums(doc, which, letters, len(texts), dimensions, seed)
                 norm = np.linalg.norm(v, axis=1)
@@ -160,7 +160,7 @@ def identify(docs: DataFrame, folds: int = 3, held: int = 1, **options) -> DataF
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds == held
     prototypes = learn(docs.filter(~fold), **options)
     dims = {k: v for k, v in options.items() if k != "dimensions"}
-    said = predict(docs.select(F.struct("*").alias("row"), "text"), prototypes, **dims)
+    said = predict(docs.select(F.struct("*").alias("row")), prototypes, **dims)
     held_out = F.crc32(F.coalesce(F.col("row")["doc_id"].cast("string"), F.lit("")).cast("binary")) % folds == held
     return said.select("row", held_out.alias("held_out"), "lang_pred", "score")
 
@@ -169,7 +169,7 @@ def op10_language(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     base = docs.select("doc_id", "text", "lang")
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
-    said = predict(docs.select(F.struct("doc_id").alias("row"), "text"), learn(base.filter(~fold)))
+    said = predict(docs.select(F.struct("doc_id", "text").alias("row")), learn(base.filter(~fold)))
     return said.select(F.col("row")["doc_id"].alias("doc_id"), "lang_pred", "score").select(
         "doc_id", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1).alias("held_out"), "lang_pred", "score"
     )
