@@ -86,21 +86,22 @@ class ShardTable:
 
     def plan(self, shards: DataFrame, parts: int = 1) -> DataFrame:
         """shards with the run each ends in: rows of equal `run` become one shard. Each round merges, within a size
-        tier, up to fanout neighbours whose sizes add up to the target at most."""
-        order = W.partitionBy("part").orderBy("arrival", "shard")
-        plan = shards.withColumn("part", F.pmod(F.xxhash64("shard"), F.lit(parts)))
-        plan = plan.withColumn("place", F.lpad(F.row_number().over(order).cast("string"), 9, "0"))
-        plan = plan.withColumn("run", F.concat_ws("-", "part", "place")).withColumn("run_bytes", F.col("n_bytes"))
+        tier, up to fanout neighbours whose sizes add up to the target at most. Every window and group is within a
+        part, so that the list is shuffled once, by part, for all rounds."""
+        columns = shards.columns
+        place = F.row_number().over(W.partitionBy("part").orderBy("arrival", "shard"))
+        plan = shards.withColumn("part", F.pmod(F.xxhash64("shard"), F.lit(parts))).withColumn("place", F.lpad(place.cast("string"), 9, "0"))
+        plan = plan.select("part", F.concat_ws("-", "part", "place").alias("run"), F.col("n_bytes").alias("run_bytes"), F.array(F.struct(*columns)).alias("members"))
         for _ in range(self.rounds()):
             tier = F.greatest(F.lit(0), F.ceil(F.log(float(self.fanout), F.col("run_bytes") / F.lit(float(self.smallest))) - 0.5))
-            runs = plan.select("part", "run", "run_bytes").distinct().withColumn("tier", F.when(F.col("run_bytes") * 2 <= self.target, tier))
+            runs = plan.withColumn("tier", F.when(F.col("run_bytes") * 2 <= self.target, tier))
             line = W.partitionBy("part", "tier").orderBy("run")
             most = F.least(F.lit(self.fanout), F.greatest(F.lit(1), F.floor(F.lit(self.target) / F.max("run_bytes").over(W.partitionBy("part", "tier"))))).cast("int")
             runs = runs.withColumn("batch", F.when(F.col("tier").isNull(), F.row_number().over(line)).otherwise(F.floor((F.row_number().over(line) - 1) / most)))
-            group = W.partitionBy("part", "tier", "batch")
-            merged = runs.select("run", F.min("run").over(group).alias("new_run"), F.sum("run_bytes").over(group).alias("new_bytes"))
-            plan = plan.join(merged, "run").drop("run", "run_bytes").withColumnsRenamed({"new_run": "run", "new_bytes": "run_bytes"})
-        return plan.drop("part", "place")
+            plan = runs.groupBy("part", "tier", "batch").agg(
+                F.min("run").alias("run"), F.sum("run_bytes").alias("run_bytes"), F.flatten(F.collect_list("members")).alias("members")
+            ).select("part", "run", "run_bytes", "members")
+        return plan.select("run", "run_bytes", F.size("members").alias("run_shards"), F.inline("members"))
 
     def rounds(self) -> int:
         n, size = 1, self.smallest
@@ -118,8 +119,7 @@ class ShardTable:
         folder = f"{self.path}/plans/{uuid.uuid4().hex}"
         self.plan(shards, max(1, count // EPOCH)).write.parquet(folder)
         plan = self.spark.read.parquet(folder)
-        size = F.count("*").over(W.partitionBy("run"))
-        plan = plan.withColumn("merging", size > 1)
+        plan = plan.withColumn("merging", F.col("run_shards") > 1)
         moved = plan.filter("merging").select("shard", "run")
         runs = moved.select("run").distinct().count()
         if not runs:
