@@ -165,3 +165,8 @@ def with_scenario(scenario: Column, question: Column) -> Column:
 
 def heading_path(path: Column, level: Column, text: Column) -> Column:
     return F.concat(F.slice(path, F.lit(1), F.least(level - 1, F.size(path))), F.array(text))
+
+
+def within_bytes(record: Column, most: int) -> Column:
+    """Whether a record, as JSON in UTF-8, has at most so many bytes; a null one has."""
+    return F.coalesce(F.octet_length(F.to_json(record)) <= most, F.lit(True))

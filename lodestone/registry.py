@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
 from lodestone.functions import udfs as U
-from lodestone.operators import chunking, metrics, relational, retrieval, sampling
+from lodestone.operators import chunking, datasets, metrics, relational, retrieval, sampling, scoring
 from lodestone.plans import chain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -276,13 +276,7 @@ def multi_query_fusion(spark, sf_dir):
   df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 2), n AS (SELECT count(*) AS n FROM documents)
   SELECT doc_id, term, weight, place FROM (SELECT doc_id, term, weight, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term) AS place FROM (SELECT doc_id, term, round(tf * (ln((1 + n)::DOUBLE / (1 + df)) + 1), 9) AS weight FROM tf JOIN df USING (term) CROSS JOIN n)) WHERE place <= 6""")
 def tfidf_keywords(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    tf = docs.select("doc_id", F.explode(X.index_terms(F.col("text"))).alias("term")).filter(F.length("term") > 2).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df")).filter("df >= 2")
-    n = docs.agg(F.count("*").alias("n"))
-    weighed = tf.join(df, "term").crossJoin(F.broadcast(n)).select("doc_id", "term", F.round(F.col("tf") * (F.log((1 + F.col("n")).cast("double") / (1 + F.col("df"))) + 1), 9).alias("weight"))
-    place = F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("weight"), "term")).cast("long")
-    return weighed.withColumn("place", place).filter("place <= 6")
+    return retrieval.tfidf_keywords(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", 6)
 
 
 # Metrics.
@@ -479,3 +473,98 @@ def aggregate_scores(spark, sf_dir):
 def group_advantage(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     return metrics.group_advantage(d, "lang", "n_chars").select("doc_id", "lang", F.round("advantage", 6).alias("advantage"))
+
+
+# Training sets: conversations as rewrites and multi-hop questions, documents as policies.
+
+
+def _rewrites(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    w = W.partitionBy("conv_id").orderBy("turn")
+    rows = c.select("conv_id", "turn", F.col("text").alias("question"), F.lead("text").over(w).alias("rewrite"), F.collect_list("text").over(w.rowsBetween(W.unboundedPreceding, -1)).alias("context"))
+    return rows.filter("rewrite IS NOT NULL AND length(rewrite) >= 3").select(
+        F.concat_ws("_", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), "question", "context", F.when(F.col("turn") % 4 == 0, F.col("question")).otherwise(F.col("rewrite")).alias("rewrite"),
+        F.when(F.col("conv_id") % 2 == 0, "even").otherwise("odd").alias("conversation_source"), F.size("context").alias("context_turns"),
+    )
+
+
+def _policies(spark, sf_dir):
+    """Documents by source and language: the title, the first words as scenario and question, sentences as evidence."""
+    words = F.split(X.normalize_text(F.col("text")), " ")
+    part = lambda lo, n: F.array_join(F.slice(words, lo, n), " ")
+    answers = F.array(F.struct(part(1, 3).alias("answer"), F.lit("").alias("conditions")))
+    return table(spark, sf_dir, "documents").filter("length(text) > 200").select(
+        F.col("doc_id").cast("string").alias("id"), F.concat_ws(" ", "source", "lang").alias("title"), part(1, 30).alias("scenario"), part(5, 8).alias("question"), (F.col("doc_id") % 9 == 0).alias("not_answerable"),
+        F.array(part(1, 10), part(11, 10), part(21, 10)).alias("evidences"), answers.alias("answers"), F.array(F.col("doc_id").cast("string"), (F.col("doc_id") + 1).cast("string")).alias("gold_doc_ids"),
+    )
+
+
+def _multihop(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").filter("turn < 3")
+    turns = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    ask = lambda s, i: F.concat(F.array_join(F.slice(F.split(s["text"], " "), 1, 5), " "), F.when(i > 0, F.concat(F.lit(" #"), i.cast("string"))).otherwise(""))
+    said = F.transform(turns, lambda s: F.element_at(F.split(s["text"], " "), -1))
+    rows = c.groupBy("conv_id").agg(F.transform(turns, ask).alias("questions"), said.alias("answers")).filter(F.size("questions") >= 2)
+    docs = F.transform("answers", lambda a, i: (F.col("conv_id") * 10 + i).cast("string"))
+    return rows.select(F.col("conv_id").cast("string").alias("id"), F.element_at("questions", 1).alias("question"), "questions", "answers", F.element_at("answers", -1).alias("answer"), F.array(F.element_at("answers", 1)).alias("answer_aliases"), docs.alias("gold_doc_ids"), F.size("questions").alias("hop_count"))
+
+
+@query()
+def sft_records(spark, sf_dir):
+    policy = _policies(spark, sf_dir)
+    return datasets.sft(_rewrites(spark, sf_dir), policy, datasets.policy_plans(policy), 400, 100)
+
+
+@query()
+def multihop_sft_records(spark, sf_dir):
+    return datasets.multihop_sft(_multihop(spark, sf_dir))
+
+
+@query()
+def dpo_records(spark, sf_dir):
+    policy = _policies(spark, sf_dir)
+    return datasets.dpo(_rewrites(spark, sf_dir), policy, datasets.policy_plans(policy), _multihop(spark, sf_dir), 200, 50)
+
+
+@query()
+def grpo_records(spark, sf_dir):
+    policy = _policies(spark, sf_dir)
+    used = policy.filter("id % 3 = 0").select(F.col("id").alias("source_id"))
+    return datasets.grpo(_multihop(spark, sf_dir), policy, datasets.policy_plans(policy), used, 100)
+
+
+@query()
+def generation_requests(spark, sf_dir):
+    """Requests of all three stages; each evidence maps to a document by its place."""
+    policy = _policies(spark, sf_dir)
+    mapped = policy.select("id", F.posexplode("evidences").alias("place", "evidence")).withColumn("doc_id", F.concat_ws("_", "id", (F.col("place") % (F.col("id") % 3 + 1)).cast("string")))
+    parts = [datasets.sft_requests(policy), datasets.dpo_requests(dpo_records(spark, sf_dir)), datasets.grpo_requests(policy, mapped)]
+    out = None
+    for p in parts:
+        p = p.select("id", "stage", "source_dataset", "source_id", "payload", "request_hash")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def _judged(spark, sf_dir):
+    """Gold records of both tasks, and predictions that are right, weaker by one error, or failed, by id."""
+    steps = F.transform(chain.parsed(F.col("reference_plan"))["queries"], lambda q, i: F.struct(q["id"].alias("id"), q["query"].alias("query"), F.get("gold_doc_ids", i).alias("gold_doc_id"), F.get("answers", i).alias("answer"), F.array().cast("array<string>").alias("aliases")))
+    nest = F.transform("gold_doc_ids", lambda d: F.array(d))
+    many = _multihop(spark, sf_dir).withColumn("reference_plan", U.decomposition_plan("questions")).select(F.concat(F.lit("m"), "id").alias("id"), F.lit("musique").alias("source_dataset"), "hop_count", F.lit(True).alias("answerable"), "gold_doc_ids", nest.alias("evidence_doc_ids"), F.array("answer").alias("references"), "reference_plan", steps.alias("reference_steps"), (F.col("id") % 4).alias("kind"))
+    p = _policies(spark, sf_dir)
+    no_steps = F.array().cast("array<struct<id:string,query:string,gold_doc_id:string,answer:string,aliases:array<string>>>")
+    one = p.select(F.concat(F.lit("p"), "id").alias("id"), F.lit("conditionalqa").alias("source_dataset"), F.lit(None).cast("int").alias("hop_count"), (~F.col("not_answerable")).alias("answerable"), "gold_doc_ids", nest.alias("evidence_doc_ids"), F.transform("answers", lambda a: a["answer"]).alias("references"), F.lit(None).cast("string").alias("reference_plan"), no_steps.alias("reference_steps"), (F.col("id") % 4).alias("kind"))
+    gold = many.unionByName(one)
+    k = F.col("kind")
+    said = F.transform("reference_steps", lambda s, i: F.struct(F.lit("success").alias("status"), F.when(k < 2, s["answer"]).alias("answer"), F.array(s["gold_doc_id"]).alias("evidence")))
+    predictions = gold.withColumn("bad", U.reject_plan("reference_plan", F.when(k == 1, "step_omission").otherwise("broken_dependency"))).select(
+        "id", F.when(k == 3, False).alias("success"), F.when(k == 3, F.array(F.lit("timeout"))).alias("errors"), (k == 2).alias("fallback"), F.create_map(F.lit("total_tokens"), F.lit(10.0)).alias("tokens"), F.create_map(F.lit("total"), F.lit(0.5)).alias("latency"),
+        F.when(k == 2, F.reverse("gold_doc_ids")).otherwise(F.slice("gold_doc_ids", 1, 1)).alias("evidence"), F.when(k != 3, F.element_at("references", 1)).alias("answer"), F.lit(None).cast("boolean").alias("said_answerable"),
+        F.when(k == 0, F.col("reference_plan")).when(k < 3, F.col("bad")).alias("plan"), said.alias("steps"),
+    )
+    return gold.drop("kind"), predictions
+
+
+@query()
+def scores_by_task(spark, sf_dir):
+    return metrics.aggregate_scores(scoring.score(*_judged(spark, sf_dir), check=False))

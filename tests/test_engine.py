@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
 from lodestone.functions import udfs as U
-from lodestone.operators import chunking, metrics, relational, retrieval, sampling, validation
+from lodestone.operators import chunking, datasets, metrics, relational, retrieval, sampling, scoring, validation
 from lodestone.plans import chain
 from lodestone.sources import files
 from lodestone.streaming import resume
@@ -186,3 +186,62 @@ def test_files_and_streams(spark, tmp_path):
         (tmp_path / "in" / f"{n}.json").write_text(json.dumps({"id": str(n), "plan": "{}"}) + "\n")
         resume.ingest_plans(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["0", "1"]
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_training_sets(spark):
+    from lodestone import registry as r
+
+    d = r.dpo_records(spark, SMALL).withColumn("errors", validation.dpo_errors()).cache()
+    assert d.filter(F.size("errors") > 0).count() == 0
+    kinds = {x["error_type"]: x["n"] for x in d.filter("source_dataset = 'qrecc'").groupBy("error_type").agg(F.count("*").alias("n")).collect()}
+    assert set(kinds) == set(U.SINGLE_ERRORS) and max(kinds.values()) - min(kinds.values()) <= 1
+    assert {x["error_type"] for x in d.filter("source_dataset = 'musique'").collect()} == set(U.MULTIHOP_ERRORS)
+    s = r.sft_records(spark, SMALL)
+    datasets.checked(s, validation.sft_errors())
+    datasets.checked(r.multihop_sft_records(spark, SMALL), validation.multihop_sft_errors())
+    g = r.grpo_records(spark, SMALL)
+    datasets.checked(g, validation.grpo_errors())
+    assert g.filter("task_type = 'single_hop' AND source_id % 3 = 0").count() == 0
+    with pytest.raises(ValueError, match="broken records"):
+        datasets.checked(s.withColumn("output", F.lit("{}")), validation.sft_errors())
+
+
+def test_requests_and_merge(spark):
+    from lodestone import registry as r
+
+    q = r.generation_requests(spark, SMALL).cache()
+    assert q.select("id").distinct().count() == q.count() and q.filter("request_hash IS NULL").count() == 0
+    assert {x["n"] for x in q.filter("stage = 'grpo'").groupBy("source_id").agg(F.count("*").alias("n")).collect()} == {1, 2}
+    rows = spark.createDataFrame([("a", "conditionalqa", "1", "old"), ("b", "qrecc", "2", "old")], "id string, source_dataset string, source_id string, output string")
+    new = spark.createDataFrame([("1", "x", 0), ("1", "new", 1), ("2", "new", 2)], "source_id string, parsed_output string, file_pos int")
+    assert {x["id"]: x["output"] for x in datasets.merged_sft(rows, new).collect()} == {"a": "new", "b": "old"}
+
+
+def test_rejected_queries(spark):
+    def bad(error, chosen, question="and then", title=None):
+        return value(spark, datasets.rejected_query(F.lit(error), F.lit(chosen), F.lit(question), F.lit(title).cast("string"), F.lit("elsewhere")))
+
+    chosen = "When did Paris host 3 large games"
+    assert bad("unresolved_reference", chosen) == "and then" and bad("wrong_context", chosen) == "elsewhere"
+    assert bad("entity_omission", chosen) == "When did host 3 large games" and bad("constraint_omission", chosen) == "When did Paris host large games"
+    assert bad("overly_broad", chosen) == "General background information" and bad("overly_broad", chosen, title="T") == "General information about T"
+    assert bad("unresolved_reference", chosen, question=chosen) == "General information When did Paris"
+
+
+def test_scores_by_task(spark):
+    from lodestone import registry as r
+
+    gold, predictions = r._judged(spark, SMALL)
+    rows = {x["id"]: x for x in scoring.score(gold, predictions).collect()}
+    whole = next(x for k, x in rows.items() if k[0] == "m" and int(k[1:]) % 4 == 0)["metrics"]
+    assert all(whole[n] == 1 for n in ("json_parse", "schema_valid", "hop_count_accuracy", "dependency_f1", "query_exact_match", "joint_recall@1", "hop_mrr", "final_answer_token_f1", "inference_success"))
+    short = next(x for k, x in rows.items() if k[0] == "m" and int(k[1:]) % 4 == 1)
+    assert short["metrics"]["hop_count_accuracy"] == 0 and short["metrics"]["query_exact_match"] < 1 and short["per_step"][0]["status"] == "success"
+    failed = next(x for k, x in rows.items() if k[0] == "p" and int(k[1:]) % 4 == 3)["metrics"]
+    assert failed["error_rate"] == 1 and failed["inference_success"] == 0 and failed["answerability_coverage"] == 0 and "answerability_accuracy" not in failed
+    assert failed["doc_recall@1"] == 0.5 and "latency_total_seconds" in failed and "json_parse" not in failed
+    none = next(x for x in rows.values() if x["source_dataset"] == "conditionalqa" and not x["answerable"])["metrics"]
+    assert "answer_token_f1" not in none and "doc_mrr" in none
