@@ -2,8 +2,8 @@
 
 A byte-pair vocabulary packs written language into few tokens; random characters it does not. A run of at least
 `shortest` key-like characters whose characters for each token fall below `ratio` is reported, unless it is a known
-digest (a hexadecimal run of a digest's length), an identifier (UUID, number, or words joined by separators) or
-already within a base span. One document is one row; nothing is shuffled; runs are encoded in pieces of bounded length.
+digest (a hexadecimal run of a digest's length), a UUID, a number, an identifier (letters and digits joined by
+separators, each piece of letters one token or token-efficient itself) or already within a base span. One document is one row; nothing is shuffled; runs are encoded in pieces of bounded length.
 
 Defined cases: a null or empty text has no spans and the digest of ''; positions are code points; repeated rows and
 null ids pass through; an empty table gives an empty result."""
@@ -28,6 +28,7 @@ _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _HEX_ONLY = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 _NAME = re.compile(r"(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]+)(?:[+/_=-]+(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]+))*[+/_=-]*\Z")
+_PIECES = re.compile(r"[A-Za-z]+")
 #: Lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hexadecimal.
 DIGESTS = frozenset({32, 40, 56, 64, 96, 128})
 _PIECE = 256
@@ -65,7 +66,13 @@ class Scanner:
 
     def excluded(self, run: str) -> bool:
         core = run.strip("-=_/+")
-        return bool(_HEX_ONLY.match(core) and len(core) in DIGESTS) or bool(_UUID.match(core)) or bool(_NAME.match(core))
+        if _HEX_ONLY.match(core) and len(core) in DIGESTS or _UUID.match(core):
+            return True
+        return bool(_NAME.match(core)) and all(map(self.written_language, _PIECES.findall(core)))
+
+    def written_language(self, piece: str) -> bool:
+        """One token, or as many characters for each token as the ratio asks."""
+        return self.efficiency(piece) >= min(self.ratio, len(piece))
 
     def spans(self, text: str) -> tuple[list, list]:
         """(base spans, spans that the method adds)."""

@@ -205,6 +205,13 @@ def test_secrets(docs, empty, spark):
     assert secrets.find_secrets(docs).count() == len(TEXTS) and secrets.find_secrets(empty).count() == 0
 
 
+def test_secrets_of_letters_only(spark):
+    found = ["xkqjzvbnmtrwplshd", "hqzv-wkpx-bmtr-jdgf", "XKQJZVBNMTRWPLSHD"]
+    left = ["some_long_identifier_name", "getConfigurationValue", "a-b_documentation", "12345678-1234567890", "HTTP_SERVER_CONFIGURATION"]
+    rows = spark.createDataFrame([(i, f"key {t} end") for i, t in enumerate(found + left)], "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in secrets.find_secrets(rows).collect()} == {i: f"random:4:{4 + len(t)}" if i < len(found) else "" for i, t in enumerate(found + left)}
+
+
 def test_passages(docs, empty):
     rows = {(r.doc_id, r.match_doc_id) for r in passages.repeated_passages(docs).collect()}
     pairs = {frozenset(p) for p in rows}
