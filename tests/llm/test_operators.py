@@ -219,6 +219,22 @@ def test_passages(docs, empty):
     assert passages.repeated_passages(empty).count() == 0
 
 
+@pytest.mark.parametrize("change", ["two words", "inserted", "stray match"])
+def test_changed_passages_are_compared_whole(change):
+    a = np.arange(1000, 1100, dtype=np.uint64)
+    b, least = a.copy(), 80
+    if change == "two words":  # five apart: ten shingles running
+        b[43:53] += np.uint64(10**6)
+    elif change == "inserted":  # a word at 28 of 60: the diagonals part, and a least shingle lies on one of them
+        a = a[:56]
+        b, least = np.concatenate([a[:26], a[26:30] + np.uint64(10**6), [7], a[30:]]), 50
+    else:  # near the passage is one more equal shingle, not as far off as the gap within it
+        b[43:53] += np.uint64(10**6)
+        a = np.concatenate([a, np.arange(1, 10, dtype=np.uint64), [99]])
+        b = np.concatenate([b, np.arange(11, 20, dtype=np.uint64), [99]])
+    assert any(e - s + 1 >= least and score >= 0.8 for s, e, _, _, score in passages.compare(a, b, (0, len(a), np.array([0])), 46, 0.8))
+
+
 def test_compact_windows():
     rng = np.random.default_rng(5)
     v = rng.integers(1, 60, 400).astype(np.uint64)
