@@ -1,9 +1,9 @@
-"""MinHash near-duplicate classes with ProbMinHash signatures.
+"""MinHash near-duplicate classes, with arrivals as in ProbMinHash and unit weights.
 
-Texts with the same words are one node at once. A node's five-word shingles are weighted 1 + ln(count); each is a
-Poisson process of rate equal to its weight, whose arrivals, drawn from the shingle's hash, fall in random registers. A
-register keeps its earliest arrival, and the probability that two nodes agree in a register is their probability
-Jaccard similarity. Arrivals are drawn in order for all shingles at once, and a shingle stops when its next arrival is
+Texts with the same words are one node at once. Each of a node's different five-word shingles, however often it is
+repeated, is a Poisson process of rate one, whose arrivals, drawn from the shingle's hash, fall in random registers. A
+register keeps its earliest arrival, and the probability that two nodes agree in a register is the Jaccard similarity of
+their shingle sets, by which links are accepted too. Arrivals are drawn in order for all shingles at once, and a shingle stops when its next arrival is
 later than every register's: nothing after it could count.
 
 Bands of registers give candidates. Nodes that share a band form a family (a star around the least node of each band,
@@ -91,8 +91,8 @@ def signatures(docs: DataFrame, text: Column, bands: int, rows: int, width: int)
             data, offsets = column_bytes(batch.column(0))
             for lo, hi in chunks(offsets):
                 t = tokenise(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                doc, shingle, count = shingle_sets(t, width)
-                owner = prob_min_hash(doc, shingle, 1 + np.log(count), hi - lo, registers)
+                doc, shingle, _ = shingle_sets(t, width)
+                owner = prob_min_hash(doc, shingle, np.ones(len(shingle)), hi - lo, registers)
                 band = np.zeros((hi - lo, bands), np.uint64)
                 for r in range(rows):
                     band = mix64(band ^ owner[:, r::rows]) + _U(r)

@@ -173,6 +173,15 @@ def test_hub_and_strays(spark):
     assert {r.doc_id: r.class_id for r in rows} == dict(enumerate(root))
 
 
+def test_repeated_lines_do_not_hide_near_duplicates(spark):
+    rows = []
+    for i in range(12):
+        base = prose(400 + i, 100)
+        rows += [(2 * i, base), (2 * i + 1, base + f" {prose(500 + i, 16)}" * 100)]
+    got = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k - k % 2 for k in range(24)}
+
+
 def test_probability_jaccard():
     a, b = np.arange(1, 301, dtype=np.uint64), np.arange(61, 361, dtype=np.uint64)
     doc = np.repeat([0, 1], 300)
