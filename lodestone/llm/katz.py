@@ -1,20 +1,23 @@
-"""Language-model scores by Katz backoff over bigrams.
-
-Counts are kept in tables partitioned by order and by the leading bits of an n-gram's hash. Documents are packed into
-blocks of some megabytes; a block sends each bucket its different n-grams once, as sorted arrays with their training
-counts, and the bucket adds them up, writes its part of the table and answers each block with the counts of just those
-n-grams. So the corpus moves as arrays, not as a row for each token, a frequent n-gram is one entry a block, and every
-task holds one block or one bucket, whose number follows the corpus.
-
-P(w | h) = d(c) c(h w) / c(h) where the bigram was seen, else alpha(h) P(w); P(w) = d(c) c(w) / N, and all words never
-seen share what the discounts leave. d(c) is Katz's Good-Turing discount for counts up to 5; beyond, and where the
-counts of counts don't give one between 0 and 1, an absolute discount, so that something is always left. alpha(h) =
-(1 - sum of P(w | h) over seen w) / (1 - sum of P(w) over the same w), from sums over all blocks: each bigram is summed
-by the first block that has it. The probabilities after any h therefore add up to 1.
+"""Language-model scores by Katz backoff of any order, three by default.
+
+Counts are kept in tables, one for each order, cut in buckets by the leading bits of an n-gram's hash. Documents are
+packed into blocks; for each order a block sends each bucket its different n-grams once, as sorted arrays with their
+training counts, and the bucket adds them up, writes its part of the table and answers each block with the counts of
+just those n-grams. So the corpus moves as arrays, not as a row for each token, a frequent n-gram is one entry a block,
+and every task holds one block or one bucket. Blocks and buckets grow with the square root of the corpus up to a bound
+of memory, so that the arrays stay long: their number is the product of both.
+
+P(w | h) = d(c) c(h w) / c(h) where the n-gram h w was seen, else alpha(h) P(w | h') with the first word of h left out,
+down to P(w) = d(c) c(w) / N, where all words never seen share what the discounts leave; a context never seen passes
+the question on as it is. d(c) is Katz's Good-Turing discount for counts up to 5, by order; beyond, and where the counts
+of counts don't give one between 0 and 1, an absolute discount, so that something is always left. alpha(h) = (1 - sum
+of P(w | h) over seen w) / (1 - sum of P(w | h') over the same w), from sums over all blocks: each n-gram is summed by
+the first block that has it. The probabilities after any h therefore add up to 1. Sums move only for contexts that some
+scored text may back off from; the blocks say which when they ask for counts.
 
 Defined cases: a null or empty text is one token, the end; with no training document every score is 0; a null doc_id
-counts as the text '' and is returned as null; repeated rows count and are scored each; an empty table gives an empty
-result."""
+counts as the text '' and is returned as null; repeated rows count and are scored each; a text longer than a block is a
+block of its own; an empty table gives an empty result."""
 
 from __future__ import annotations
 
@@ -27,8 +30,12 @@ from pyspark.sql import functions as F
 from lodestone.llm.scratch import release_shuffles, saved
 from lodestone.llm.words import _STEP, chunks, column_bytes, mix64, tokenise
 
-BLOCK_BYTES = 8 << 20
-BUCKET_TOKENS = 4_000_000
+ORDER = 3
+#: Bytes of text in a block and tokens in a bucket: at least, and at most for the memory of a task.
+BLOCK_BYTES, MOST_BLOCK_BYTES = 8 << 20, 32 << 20
+BUCKET_TOKENS, MOST_BUCKET_TOKENS = 4_000_000, 16_000_000
+#: Up to so many bytes of text the smallest blocks do.
+SMALL_CORPUS = 64 << 30
 GOOD_TURING = 5
 #: Taken from counts that Good-Turing leaves alone.
 ABSOLUTE = 0.1
@@ -55,6 +62,14 @@ def unsorted_planes(raw: bytes) -> np.ndarray:
     return np.cumsum(unplanes(raw, np.uint64), dtype=np.uint64)
 
 
+def bits(flags: np.ndarray) -> bytes:
+    return np.packbits(flags).tobytes()
+
+
+def unbits(raw: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(raw, np.uint8))[:n].astype(bool)
+
+
 def discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
     """d(0), ..., d(GOOD_TURING), d of anything larger is (c - ABSOLUTE) / c."""
     n = [counts_of_counts.get(r, 0) for r in range(GOOD_TURING + 2)]
@@ -73,30 +88,47 @@ def discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
 
 
 class _Block:
-    """The tokens of a block as local word numbers; texts end with the end token."""
+    """The tokens of a block; texts end with the end token. For each order n, from 1: grams[n], the sorted hashes of the
+    different n-grams; first[n], where each stands first; which[n], the number of the n-gram that ends at a token;
+    context[n], the number of the order n - 1 before a token, len(grams[n - 1]) where that is only starts."""
 
-    def __init__(self, words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, train: np.ndarray):
-        self.words, self.tokens, self.lengths, self.train = words, tokens, lengths, train
+    def __init__(self, words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, train: np.ndarray, order: int):
+        self.lengths = lengths
         self.doc = np.repeat(np.arange(len(lengths)), lengths)
-        first = np.cumsum(lengths) - lengths
-        self.context = np.empty(len(tokens), np.int64)
-        self.context[1:] = tokens[:-1]
-        self.context[first] = len(words)  # the start
-        w, h = words[tokens], np.append(words, START)[self.context]
-        key = mix64(h * _STEP[0] + w * _STEP[1])
-        self.bigrams, self.first, self.which = np.unique(key, return_index=True, return_inverse=True)
-
-    def counts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Training counts of the words and of the bigrams."""
-        mine = self.train[self.doc]
-        return np.bincount(self.tokens[mine], minlength=len(self.words)), np.bincount(self.which[mine], minlength=len(self.bigrams))
+        self.train = train[self.doc]
+        begin = np.cumsum(lengths) - lengths
+        self.grams, self.which, self.context, self.starts = [None, words], [None, tokens], [None, None], [None, START]
+        self.first = [None, None]
+        for n in range(2, order + 1):
+            before = np.empty(len(tokens), np.int32)
+            before[1:] = self.which[-1][:-1]
+            before[begin] = len(self.grams[-1])
+            h = np.append(self.grams[-1], self.starts[-1])[before]
+            key, first, which = np.unique(mix64(h * _STEP[0] + words[tokens] * _STEP[1] + _U(n)), return_index=True, return_inverse=True)
+            self.grams.append(key)
+            self.first.append(first)
+            self.which.append(which.astype(np.int32))
+            self.context.append(before)
+            self.starts.append(mix64(np.array([START + _U(n)]))[0])
+
+    def counts(self, n: int) -> np.ndarray:
+        """How often each n-gram stands in this block's training texts."""
+        return np.bincount(self.which[n][self.train], minlength=len(self.grams[n]))
+
+    def wanted(self, n: int) -> np.ndarray:
+        """Which n-grams some text of this block may back off from: a word follows that this block hasn't seen there."""
+        out = np.zeros(len(self.grams[n]) + 1, bool)
+        if n + 1 < len(self.grams):
+            new = self.counts(n + 1)[self.which[n + 1]] == 0
+            out[self.context[n + 1][new]] = True
+        return out[:-1]
 
 
 _BLOCK_DDL = "block long, ids array<{kind}>, lengths binary, train binary, words binary, tokens binary, n long"
 
 
-def pack(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, train) in blocks of about BLOCK_BYTES."""
+def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs (doc_id, text, train) in blocks of about so many bytes of text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -104,7 +136,7 @@ def pack(docs: DataFrame) -> DataFrame:
         for batch in batches:
             data, offsets = column_bytes(batch.column(1))
             train = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint8)
-            for lo, hi in chunks(offsets, BLOCK_BYTES):
+            for lo, hi in chunks(offsets, block_bytes):
                 hashes, lengths = [], []
                 inner = offsets[lo : hi + 1] - offsets[lo]
                 piece = data[offsets[lo] : offsets[hi]]
@@ -124,8 +156,10 @@ def pack(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "train").mapInArrow(run, _BLOCK_DDL.format(kind=kind))
 
 
-def _unpack(row: dict) -> _Block:
-    return _Block(unsorted_planes(row["words"]), unplanes(row["tokens"], np.int32).astype(np.int64), np.frombuffer(row["lengths"], np.int32).astype(np.int64), np.frombuffer(row["train"], np.uint8).astype(bool))
+def _unpack(row: dict, order: int) -> _Block:
+    return _Block(
+        unsorted_planes(row["words"]), unplanes(row["tokens"], np.int32), np.frombuffer(row["lengths"], np.int32).astype(np.int64), np.frombuffer(row["train"], np.uint8).astype(bool), order
+    )
 
 
 def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -134,189 +168,221 @@ def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def _requests(blocks: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, block, part, keys, counts): a block's different n-grams of order `part` in the bucket."""
+def _requests(blocks: DataFrame, n: int, order: int, buckets: int) -> DataFrame:
+    """(bucket, block, keys, counts, wanted): a block's different n-grams of order n in the bucket."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                b = _unpack(row)
-                for part, keys, counts in zip((1, 2), (b.words, b.bigrams), b.counts()):
-                    cut = _cuts(keys, buckets)
-                    full = np.flatnonzero(np.diff(cut))
-                    yield pa.RecordBatch.from_pydict({
-                        "bucket": pa.array(full.astype(np.int32)), "block": pa.array(np.full(len(full), row["block"])), "part": pa.array(np.full(len(full), part, np.int8)),
-                        "keys": pa.array([sorted_planes(keys[cut[k] : cut[k + 1]]) for k in full], pa.binary()), "counts": pa.array([planes(counts[cut[k] : cut[k + 1]].astype(np.uint32)) for k in full], pa.binary()),
-                    })
+                b = _unpack(row, min(n + 1, order))
+                keys, counts, wanted = b.grams[n], b.counts(n).astype(np.uint64), b.wanted(n)
+                cut = _cuts(keys, buckets)
+                full = np.flatnonzero(np.diff(cut)).tolist()
+                part = lambda pack_, x: pa.array([pack_(x[cut[k] : cut[k + 1]]) for k in full], pa.binary())  # noqa: B023, E731
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array(full, pa.int32()), "block": pa.array([row["block"]] * len(full), pa.int64()),
+                    "keys": part(sorted_planes, keys), "counts": part(planes, counts), "wanted": part(bits, wanted),
+                })
 
-    return blocks.select("block", "lengths", "train", "words", "tokens").mapInArrow(run, "bucket int, block long, part byte, keys binary, counts binary")
+    return blocks.select("block", "lengths", "train", "words", "tokens").mapInArrow(run, "bucket int, block long, keys binary, counts binary, wanted binary")
 
 
 def _count(table: pa.Table) -> pa.Table:
-    """One bucket of one order: its part of the table (kind 0), and for each block (kind 1) the totals of its keys,
-    with the block that answers for a key marked."""
+    """One bucket: its part of the table (kind 0), and for each block (kind 1) the totals of its keys, whether the block
+    answers for a key, and whether any block may back off from it."""
     blocks = table.column("block").to_numpy()
     order = np.argsort(blocks, kind="stable")
-    rows = table.select(["keys", "counts"]).to_pylist()
+    rows = table.select(["keys", "counts", "wanted"]).to_pylist()
     keys = [unsorted_planes(rows[i]["keys"]) for i in order]
     sizes = np.array([len(k) for k in keys])
     every, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    counts = np.concatenate([unplanes(rows[i]["counts"], np.uint32) for i in order])
-    total = np.bincount(which, counts, len(every)).astype(np.int64)
-    own = np.zeros(len(which), np.uint8)
-    own[first] = 1
-    answer, at = total[which], np.append(0, np.cumsum(sizes))
+    # Sums of whole numbers in floats would round beyond 2 ** 53.
+    total, wanted = np.zeros(len(every), np.uint64), np.zeros(len(every), bool)
+    at = np.append(0, np.cumsum(sizes))
+    for i, a, b in zip(order, at, at[1:]):
+        mine = which[a:b]  # different keys, so plain indexing adds each once
+        total[mine] += unplanes(rows[i]["counts"], np.uint64)
+        wanted[mine] |= unbits(rows[i]["wanted"], b - a)
+    own = np.zeros(len(which), bool)
+    own[first] = True
     seen = total > 0
-    bucket, part = table.column("bucket")[0].as_py(), table.column("part")[0].as_py()
-    n = len(order)
+    bucket, k = table.column("bucket")[0].as_py(), len(order)
+    slices = list(zip(at, at[1:]))
     return pa.table({
-        "kind": pa.array([0] + [1] * n, pa.int8()), "part": pa.array([part] * (n + 1), pa.int8()), "bucket": pa.array([bucket] * (n + 1), pa.int32()),
-        "block": pa.array([None, *blocks[order].tolist()], pa.int64()),
-        "keys": pa.array([sorted_planes(every[seen])] + [None] * n, pa.binary()),
-        "counts": pa.array([planes(total[seen].astype(np.uint32))] + [planes(answer[a:b].astype(np.uint32)) for a, b in zip(at, at[1:])], pa.binary()),
-        "own": pa.array([None] + [np.packbits(own[a:b]).tobytes() for a, b in zip(at, at[1:])], pa.binary()),
+        "kind": pa.array([0] + [1] * k, pa.int8()), "bucket": pa.array([bucket] * (k + 1), pa.int32()), "block": pa.array([None, *blocks[order].tolist()], pa.int64()),
+        "keys": pa.array([sorted_planes(every[seen])] + [None] * k, pa.binary()),
+        "counts": pa.array([planes(total[seen])] + [planes(total[which[a:b]]) for a, b in slices], pa.binary()),
+        "own": pa.array([None] + [bits(own[a:b]) for a, b in slices], pa.binary()),
+        "wanted": pa.array([None] + [bits(wanted[which[a:b]]) for a, b in slices], pa.binary()),
     })
 
 
-def _statistics(tables: DataFrame) -> DataFrame:
-    """(part, r, n): how many n-grams of an order occur r times, up to GOOD_TURING + 1; r = -1: all, r = -2: their sum."""
+def _statistics(table: DataFrame) -> dict[int, int]:
+    """How many n-grams of an order occur r times, up to GOOD_TURING + 1; -1: all, -2: their sum."""
 
     def run(batches):
-        total: dict[tuple[int, int], int] = {}
+        total: dict[int, int] = {}
         for batch in batches:
-            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                c = unplanes(counts, np.uint32)
-                few = np.bincount(np.minimum(c, GOOD_TURING + 2), minlength=GOOD_TURING + 3)
-                for r, n in [*((r, int(few[r])) for r in range(1, GOOD_TURING + 2)), (-1, len(c)), (-2, int(c.sum(dtype=np.int64)))]:
-                    total[part, r] = total.get((part, r), 0) + n
-        k = list(total)
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in k], pa.int32()), pa.array([x[1] for x in k], pa.int32()), pa.array([total[x] for x in k], pa.int64())], ["part", "r", "n"])
+            for counts in batch.column(0).to_pylist():
+                c = unplanes(counts, np.uint64)
+                few = np.bincount(np.minimum(c, GOOD_TURING + 2).astype(np.int64), minlength=GOOD_TURING + 3)
+                for r, n in [*((r, int(few[r])) for r in range(1, GOOD_TURING + 2)), (-1, len(c)), (-2, int(c.sum(dtype=np.uint64)))]:
+                    total[r] = total.get(r, 0) + n
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], ["r", "n"])
 
-    return tables.select("part", "counts").mapInArrow(run, "part int, r int, n long").groupBy("part", "r").agg(F.sum("n").alias("n"))
+    return {r["r"]: r["n"] for r in table.select("counts").mapInArrow(run, "r int, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()}
 
 
 class Model:
-    """What all tasks need: sizes and discounts, a few numbers."""
+    """What all tasks need: sizes and discounts, a few numbers for each order."""
 
-    def __init__(self, stats: dict[tuple[int, int], int], starts: int):
-        self.n, self.v, self.starts = stats.get((1, -2), 0), stats.get((1, -1), 0), starts
-        self.d = {k: discounts({r: stats.get((k, r), 0) for r in range(1, GOOD_TURING + 2)}) for k in (1, 2)}
-        few = np.array([stats.get((1, r), 0) for r in range(GOOD_TURING + 1)], np.float64)
+    def __init__(self, stats: list[dict[int, int]], starts: int):
+        self.order, self.n, self.v, self.starts = len(stats), stats[0].get(-2, 0), stats[0].get(-1, 0), starts
+        self.d = [None, *(discounts(s) for s in stats)]
+        few = np.array([stats[0].get(r, 0) for r in range(GOOD_TURING + 1)], np.float64)
+        few[0] = 0
         r = np.arange(GOOD_TURING + 1)
-        kept = float((discounted(r, self.d[1]) * few)[1:].sum() + (self.n - (r * few).sum()) - ABSOLUTE * (self.v - few.sum()))
+        kept = float((discounted(r, self.d[1]) * few).sum() + (self.n - (r * few).sum()) - ABSOLUTE * (self.v - few.sum()))
         self.unknown = 1.0 if not self.n else 1.0 - kept / self.n
 
     def word(self, c: np.ndarray) -> np.ndarray:
         """P(w) of words counted c times."""
         return np.where(c > 0, discounted(c, self.d[1]) / max(self.n, 1), self.unknown)
 
-    def seen(self, c: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """P(w | h) of bigrams counted c > 0 times after contexts counted `context` times."""
-        return discounted(c, self.d[2]) / np.maximum(context, 1)
-
 
-def _answers(table: pa.Table, part: int) -> tuple[np.ndarray, np.ndarray]:
-    rows = sorted((r for r in table.to_pylist() if r["part"] == part), key=lambda r: r["bucket"])
-    counts = [unplanes(r["counts"], np.uint32) for r in rows]
-    own = [np.unpackbits(np.frombuffer(r["own"], np.uint8))[: len(c)] for r, c in zip(rows, counts)]
-    return np.concatenate(counts).astype(np.int64), np.concatenate(own).astype(bool)
+def _answers(rows: list[dict], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts, owned and wanted of a block's n-grams of order n."""
+    mine = sorted((r for r in rows if r["part"] == n), key=lambda r: r["bucket"])
+    counts = [unplanes(r["counts"], np.uint64).astype(np.int64) for r in mine]
+    flag = lambda name: np.concatenate([unbits(r[name], len(c)) for r, c in zip(mine, counts)])
+    return np.concatenate(counts), flag("own"), flag("wanted")
 
 
 def _partial(model: Model, buckets: int, kind: str):
     """Scores of a block but for its backoff weights, and what it adds to the sums behind those."""
 
     def run(blocks: pa.Table, replies: pa.Table) -> pa.Table:
-        row = blocks.to_pylist()[0]
-        b = _unpack(row)
-        c, _ = _answers(replies, 1)
-        c2, own = _answers(replies, 2)
-        p = model.word(c)
-        h, w = b.context[b.first], b.tokens[b.first]
-        ch = np.append(c, model.starts)
-        seen = c2 > 0
-        value = np.log10(np.where(seen, model.seen(np.maximum(c2, 1), ch[h]), p[w]))
-        n = len(b.lengths)
-        add = lambda x: np.bincount(b.doc, x, n)
-        base = np.log10((c + 0.5) / (model.n + 0.5 * (model.v + 1)))
-        # Backoff weights that a document needs: those of contexts that were seen, but not before this word.
-        open_ = ~seen[b.which] & (ch[b.context] > 0)
-        pairs, times = np.unique(b.doc[open_] * (len(ch) + 1) + b.context[open_], return_counts=True)
-        mine = own & seen
-        a_sum = np.bincount(h[mine], discounted(c2[mine], model.d[2]), len(ch))
-        b_sum = np.bincount(h[mine], p[w[mine]], len(ch))
-        used = np.zeros(len(ch), bool)
-        used[h[mine]] = used[pairs % (len(ch) + 1)] = True
-        order = np.flatnonzero(used)
-        keys = np.append(b.words, START)[order]
-        arranged = np.argsort(keys)
-        order, keys = order[arranged], keys[arranged]
-        place = np.zeros(len(ch), np.int64)
-        place[order] = np.arange(len(order))
-        cut = _cuts(keys, buckets)
-        full = np.flatnonzero(np.diff(cut))
-        k = len(full)
-        pack_ = lambda x: [planes(x[order[cut[i] : cut[i + 1]]]) for i in full]
+        row, said = blocks.to_pylist()[0], replies.to_pylist()
+        b = _unpack(row, model.order)
+        count, own, wanted = zip((None, None, None), *(_answers(said, n) for n in range(1, model.order + 1)))
+        # Counts of contexts: those of the order below, and of starts.
+        before = [None, *(np.append(c, model.starts) for c in count[1:])]
+        c1 = count[1]
+        value, left = np.zeros(len(b.doc)), np.ones(len(b.doc), bool)
+        keys, a_sums, b_sums, asked_for, asks = [], [], [], [], []
+        for n in range(model.order, 1, -1):
+            c, h = count[n], b.context[n]
+            ch, cg = before[n - 1][h], c[b.which[n]]
+            seen = left & (cg > 0)
+            value[seen] = np.log10(discounted(cg[seen], model.d[n]) / ch[seen])
+            left &= ~seen
+            back = left & (ch > 0)
+            size = len(b.grams[n - 1]) + 1
+            mine = np.flatnonzero(own[n] & (c > 0))
+            at = b.first[n][mine]
+            mine, at = (x[np.append(wanted[n - 1], True)[h[at]]] for x in (mine, at))
+            lower = discounted(count[n - 1][b.which[n - 1][at]], model.d[n - 1])
+            a_sum, b_sum = np.bincount(h[at], discounted(c[mine], model.d[n]), size), np.bincount(h[at], lower, size)
+            asked = np.zeros(size, bool)
+            asked[h[back]] = True
+            used = np.flatnonzero(asked | (np.bincount(h[at], minlength=size) > 0))
+            place = np.zeros(size, np.int64)
+            place[used] = np.arange(len(used)) + sum(map(len, keys))
+            keys.append(np.append(b.grams[n - 1], b.starts[n - 1])[used])
+            a_sums.append(a_sum[used])
+            b_sums.append(b_sum[used])
+            asked_for.append(asked[used])
+            # What a document asks for: its number, the context, how often, and the counts that the sums are shares of.
+            pairs, some, times = np.unique(b.doc[back] * size + h[back], return_index=True, return_counts=True)
+            where = np.flatnonzero(back)[some]
+            below = before[n - 2][b.context[n - 1][where]] if n > 2 else np.full(len(where), model.n)
+            asks.append(np.stack([pairs // size, place[pairs % size], times, ch[where], below]))
+        value[left] = np.log10(model.word(c1)[b.which[1][left]])
+        every = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+        order = np.argsort(every, kind="stable")
+        rank = np.empty(len(every), np.int64)
+        rank[order] = np.arange(len(every))
+        joined = [np.concatenate(x)[order] if x else np.zeros(0) for x in (a_sums, b_sums)]
+        flags = np.concatenate(asked_for)[order] if asked_for else np.zeros(0, bool)
+        ask = np.concatenate(asks, axis=1).astype(np.int64) if asks else np.zeros((5, 0), np.int64)
+        # Replies come for the keys asked for only, in their order.
+        ask[1] = (np.cumsum(flags) - 1)[rank[ask[1]]] if ask.size else ask[1]
+        every = every[order]
+        cut = _cuts(every, buckets)
+        full = np.flatnonzero(np.diff(cut)).tolist()
+        k, docs = len(full), len(b.lengths)
+        add = lambda x: np.bincount(b.doc, x, docs)
+        base = np.log10((c1 + 0.5) / (model.n + 0.5 * (model.v + 1)))
+        part = lambda pack_, x: [pack_(x[cut[i] : cut[i + 1]]) for i in full]
         return pa.table({
-            "kind": pa.array([0] + [1] * k, pa.int8()), "block": pa.array([row["block"]] * (k + 1)), "bucket": pa.array([None, *full.tolist()], pa.int32()),
-            "ids": pa.array([row["ids"]] + [None] * k, blocks.schema.field("ids").type),
-            "train": pa.array([row["train"]] + [None] * k, pa.binary()),
-            "a": pa.array([np.stack([b.lengths.astype(float), add(c[b.tokens] > 0), add(base[b.tokens]), add(value[b.which])]).tobytes(), *pack_(a_sum)], pa.binary()),
-            "b": pa.array([np.stack([pairs // (len(ch) + 1), place[pairs % (len(ch) + 1)], times]).astype(np.int32).ravel().tobytes(), *pack_(b_sum)], pa.binary()),
-            "c": pa.array([None, *pack_(ch.astype(np.int64))], pa.binary()),
-            "keys": pa.array([None, *(sorted_planes(keys[cut[i] : cut[i + 1]]) for i in full)], pa.binary()),
+            "kind": pa.array([0] + [1] * k, pa.int8()), "block": pa.array([row["block"]] * (k + 1)), "bucket": pa.array([None, *full], pa.int32()),
+            "ids": pa.array([row["ids"]] + [None] * k, blocks.schema.field("ids").type), "train": pa.array([row["train"]] + [None] * k, pa.binary()),
+            "a": pa.array([np.stack([b.lengths.astype(float), add(c1[b.which[1]] > 0), add(base[b.which[1]]), add(value)]).tobytes(), *part(planes, joined[0])], pa.binary()),
+            "b": pa.array([planes(ask.ravel()), *part(planes, joined[1])], pa.binary()),
+            "keys": pa.array([None, *part(sorted_planes, every)], pa.binary()), "asked": pa.array([None, *part(bits, flags)], pa.binary()),
         })
 
-    return run, f"kind byte, block long, bucket int, ids array<{kind}>, train binary, a binary, b binary, c binary, keys binary"
+    return run, f"kind byte, block long, bucket int, ids array<{kind}>, train binary, a binary, b binary, keys binary, asked binary"
 
 
-def _alpha(table: pa.Table) -> pa.Table:
-    """One bucket of contexts: log10 of the backoff weight of each context that a block asked for."""
+def _weights(table: pa.Table) -> pa.Table:
+    """One bucket of contexts: both sums of each context that a block asked for."""
     rows = sorted(table.to_pylist(), key=lambda r: r["block"])
     keys = [unsorted_planes(r["keys"]) for r in rows]
-    _, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = {x: np.bincount(which, np.concatenate([unplanes(r[x], np.float64) for r in rows])) for x in "ab"}
-    c = np.concatenate([unplanes(r["c"], np.int64) for r in rows])[first]
-    left = np.maximum(1 - total["a"] / np.maximum(c, 1), 1e-300)
-    alpha = np.log10(left / np.maximum(1 - total["b"], 1e-300))[which]
+    _, which = np.unique(np.concatenate(keys), return_inverse=True)
+    total = [np.bincount(which, np.concatenate([unplanes(r[x], np.float64) for r in rows])) for x in "ab"]
     at = np.append(0, np.cumsum([len(k) for k in keys]))
-    return pa.table({"block": pa.array([r["block"] for r in rows]), "bucket": pa.array([r["bucket"] for r in rows], pa.int32()), "alpha": pa.array([alpha[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())})
+    asked = [which[x:y][unbits(r["asked"], y - x)] for r, x, y in zip(rows, at, at[1:])]
+    return pa.table({
+        "block": pa.array([r["block"] for r in rows]), "bucket": pa.array([r["bucket"] for r in rows], pa.int32()),
+        "a": pa.array([planes(total[0][x]) for x in asked], pa.binary()), "b": pa.array([planes(total[1][x]) for x in asked], pa.binary()),
+    })
 
 
 def _final(model: Model, kind: str):
     def run(parts: pa.Table, replies: pa.Table) -> pa.Table:
-        row = parts.to_pylist()[0]
+        row, said = parts.to_pylist()[0], sorted(replies.to_pylist(), key=lambda r: r["bucket"])
         sums = np.frombuffer(row["a"]).reshape(4, -1)
-        alpha = np.concatenate([np.zeros(0), *(np.frombuffer(r["alpha"]) for r in sorted(replies.to_pylist(), key=lambda r: r["bucket"]))])
-        doc, at, times = np.frombuffer(row["b"], np.int32).reshape(3, -1)
-        score = sums[3] + np.bincount(doc, alpha[at] * times, sums.shape[1])
-        held = np.frombuffer(row["train"], np.uint8) == 0
+        a, b = (np.concatenate([np.zeros(0), *(unplanes(r[x], np.float64) for r in said)]) for x in "ab")
+        doc, at, times, here, below = unplanes(row["b"], np.int64).reshape(5, -1)
+        left = lambda x, n: np.maximum(1 - x[at] / np.maximum(n, 1), 1e-300)
+        alpha = np.log10(left(a, here) / left(b, below))
         n = sums.shape[1]
+        score = sums[3] + np.bincount(doc, alpha * times, n)
+        ids = parts.column("ids").combine_chunks()
         return pa.table({
-            "doc_id": parts.column("ids").combine_chunks().flatten() if isinstance(parts.column("ids"), pa.ChunkedArray) else parts.column("ids").flatten(), "held_out": pa.array(held), "n_tokens": pa.array(sums[0].astype(np.int64)), "n_known": pa.array(sums[1].astype(np.int64)),
+            "doc_id": ids.flatten(), "held_out": pa.array(np.frombuffer(row["train"], np.uint8) == 0), "n_tokens": pa.array(sums[0].astype(np.int64)), "n_known": pa.array(sums[1].astype(np.int64)),
             "train_tokens": pa.array(np.full(n, model.n)), "base_score": pa.array(sums[2]), "score": pa.array(score),
         })
 
     return run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, train): learn from those where train is true and score all."""
+def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """docs (doc_id, text, train): learn n-grams up to `order` from those where train is true and score all."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks = saved(pack(docs), "blocks")
-    size = blocks.agg(F.sum("n")).first()[0] or 0
-    starts = docs.filter("train").count()
-    buckets = max(1, -(-size // BUCKET_TOKENS))
-    asked = _requests(blocks, buckets)
-    counted = asked.groupBy("part", "bucket").applyInArrow(_count, "kind byte, part byte, bucket int, block long, keys binary, counts binary, own binary")
-    counted = saved(counted, "ngrams", by=["kind", "part"])
-    release_shuffles(spark)
-    model = Model({(r["part"], r["r"]): r["n"] for r in _statistics(counted.filter("kind = 0")).collect()}, starts)
-    replies = counted.filter("kind = 1").select("block", F.col("part").cast("int").alias("part"), "bucket", "counts", "own")
+    whole = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_if("train").alias("starts")).first()
+    growth = max(1.0, (whole["bytes"] or 0) / SMALL_CORPUS) ** 0.5
+    blocks = saved(pack(docs, int(min(BLOCK_BYTES * growth, MOST_BLOCK_BYTES))), "blocks")
+    size = blocks.agg(F.sum("n"), F.count("*")).first()
+    buckets = max(1, -(-(size[0] or 0) // int(min(BUCKET_TOKENS * growth, MOST_BUCKET_TOKENS))))
+    replies, stats = None, []
+    for n in range(1, order + 1):
+        asked = _requests(blocks, n, order, buckets).repartitionById(buckets, F.col("bucket"))
+        counted = asked.groupBy("bucket").applyInArrow(_count, "kind byte, bucket int, block long, keys binary, counts binary, own binary, wanted binary")
+        counted = saved(counted, f"grams-{n}", by=["kind"])
+        release_shuffles(spark)
+        stats.append(_statistics(counted.filter("kind = 0")))
+        mine = counted.filter("kind = 1").select("block", F.lit(n).alias("part"), "bucket", "counts", "own", "wanted")
+        replies = mine if replies is None else replies.unionByName(mine)
+    model = Model(stats, whole["starts"])
+    tasks = max(1, size[1])
     run, ddl = _partial(model, buckets, kind)
-    sums = saved(blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, ddl), "sums", by=["kind"])
+    dealt = lambda df: df.repartition(tasks, "block").groupBy("block")
+    sums = saved(dealt(blocks).cogroup(dealt(replies)).applyInArrow(run, ddl), "sums", by=["kind"])
     release_shuffles(spark)
-    weights = sums.filter("kind = 1").select("block", "bucket", "keys", "a", "b", "c").groupBy("bucket").applyInArrow(_alpha, "block long, bucket int, alpha binary")
+    weights = sums.filter("kind = 1").select("block", "bucket", "keys", "a", "b", "asked").repartitionById(buckets, F.col("bucket")).groupBy("bucket").applyInArrow(_weights, "block long, bucket int, a binary, b binary")
     run, ddl = _final(model, kind)
     parts = sums.filter("kind = 0").select("block", "ids", "train", "a", "b")
     return parts.groupBy("block").cogroup(weights.groupBy("block")).applyInArrow(run, ddl)

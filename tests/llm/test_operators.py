@@ -1,6 +1,7 @@
 """Small tables with nulls, empty and long texts, ties, repeats and clashing columns, against plain Python."""
 
 import collections
+import functools
 import hashlib
 import math
 import re
@@ -100,38 +101,71 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contaminated(empty, items).count() == decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
-def test_katz(spark, docs, empty):
-    train = docs.withColumn("train", F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True)))
-    rows = katz.score(train).collect()
-    uni, bi, starts = collections.Counter(), collections.Counter(), 0
-    for i, t, *_ in TEXTS:
-        if i is None or i % 3:
-            w = [*words(t), "</s>"]
-            uni.update(w)
-            bi.update(zip(["<s>", *w], w))
-            starts += 1
-    n, d1, d2 = sum(uni.values()), *(katz.discounts(collections.Counter(c.values())) for c in (uni, bi))
-    cut = lambda c, d: d[c] * c if c <= 5 else c - 0.1
-    unknown = 1 - sum(cut(c, d1) for c in uni.values()) / n
-    p = lambda w: cut(uni[w], d1) / n if uni[w] else unknown
-    after, total = collections.defaultdict(set), collections.Counter()
-    for (h, w), c in bi.items():
-        after[h].add(w)
-        total[h] += c
-
-    def both(h, w):
-        if bi[h, w]:
-            return cut(bi[h, w], d2) / total[h]
-        return p(w) * ((1 - sum(cut(bi[h, x], d2) for x in after[h]) / total[h]) / (1 - sum(map(p, after[h]))) if total[h] else 1)
-
-    assert abs(sum(both("w1ord", w) for w in uni) + both("w1ord", "never") - 1) < 1e-9
-    want = collections.defaultdict(set)
-    for i, t, *_ in TEXTS:
-        w = [*words(t), "</s>"]
-        want[i].add((len(w), round(sum(math.log10(both(h, x)) for h, x in zip(["<s>", *w], w)), 5), round(sum(math.log10((uni[x] + 0.5) / (n + 0.5 * (len(uni) + 1))) for x in w), 5)))
-    assert len(rows) == len(TEXTS) and all((r.n_tokens, round(r.score, 5), round(r.base_score, 5)) in want[r.doc_id] and r.train_tokens == n for r in rows)
+def katz_brute(texts, train, order, good=5):
+    """(scores by text, P): Katz backoff in dictionaries. texts: words; train: which of them teach."""
+    count = [None] + [collections.Counter() for _ in range(order)]
+    starts = sum(train)
+    for t, mine in zip(texts, train):
+        w = [*t, "</s>"]
+        if mine:
+            for n in range(1, order + 1):
+                padded = ["<s>"] * (n - 1) + w
+                count[n].update(tuple(padded[i : i + n]) for i in range(len(w)))
+    total = sum(count[1].values())
+    d = [None] + [katz.discounts(collections.Counter(c.values())) for c in count[1:]]
+    cut = lambda c, n: d[n][c] * c if c <= good else c - 0.1
+    unknown = 1 - sum(cut(c, 1) for c in count[1].values()) / total if total else 1.0
+    after = collections.defaultdict(list)
+    for n in range(2, order + 1):
+        for g in count[n]:
+            after[g[:-1]].append(g[-1])
+
+    def seen_context(h):
+        return starts if all(x == "<s>" for x in h) else count[len(h)][h]
+
+    @functools.lru_cache(None)
+    def alpha(h):
+        top = 1 - sum(cut(count[len(h) + 1][(*h, w)], len(h) + 1) for w in after[h]) / seen_context(h)
+        return top / (1 - sum(p(h[1:], w) for w in after[h]))
+
+    @functools.lru_cache(None)
+    def p(h, w):
+        if not h:
+            return cut(count[1][w,], 1) / total if count[1][w,] else unknown
+        if count[len(h) + 1][(*h, w)]:
+            return cut(count[len(h) + 1][(*h, w)], len(h) + 1) / seen_context(h)
+        return p(h[1:], w) * (alpha(h) if seen_context(h) else 1)
+
+    out = []
+    for t in texts:
+        padded = ["<s>"] * (order - 1) + [*t, "</s>"]
+        out.append(sum(math.log10(p(tuple(padded[i - order + 1 : i]), padded[i])) for i in range(order - 1, len(padded))))
+    return out, p, count[1], total
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_katz(spark, docs, empty, order):
+    rng = np.random.default_rng(order)
+    texts = [words(t[1]) for t in TEXTS] + [[f"k{x}" for x in rng.integers(0, 12, n)] for n in rng.integers(0, 60, 60)]
+    train = [bool(i % 3) for i in range(len(texts))]
+    df = spark.createDataFrame([(i, " ".join(t) if t else None, m) for i, (t, m) in enumerate(zip(texts, train))], "doc_id long, text string, train boolean").repartition(3)
+    rows = {r.doc_id: r for r in katz.score(df, order).collect()}
+    want, p, uni, n = katz_brute(texts, train, order)
+    assert len(rows) == len(texts)
+    for i, t in enumerate(texts):
+        r, w = rows[i], [*t, "</s>"]
+        base = sum(math.log10((uni[x,] + 0.5) / (n + 0.5 * (len(uni) + 1))) for x in w)
+        assert (r.n_tokens, r.train_tokens, r.n_known, r.held_out) == (len(w), n, sum(uni[x,] > 0 for x in w), not train[i])
+        assert math.isclose(r.score, want[i], abs_tol=1e-6) and math.isclose(r.base_score, base, abs_tol=1e-6)
+    for h in [("k1", "k2", "k3"), ("k0", "k0", "k0"), ("<s>", "<s>", "<s>"), ("never", "k1", "k1")]:
+        assert math.isclose(sum(p(h[4 - order :], w) for (w,) in uni) + p(h[4 - order :], "never"), 1, abs_tol=1e-9)
+
+
+def test_katz_edges(spark, docs, empty):
     assert katz.score(empty.withColumn("train", F.lit(True))).count() == 0
     assert {r.score for r in katz.score(docs.withColumn("train", F.lit(False))).collect()} == {0.0}
+    rows = katz.score(docs.withColumn("train", F.lit(True))).collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(t[0]) for t in TEXTS)
 
 
 def test_sharding(spark, docs, empty, tmp_path):
