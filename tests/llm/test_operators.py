@@ -278,6 +278,37 @@ def test_changed_passages_are_compared_whole(change):
     assert any(e - s + 1 >= least and score >= 0.8 for s, e, _, _, score in passages.compare(a, b, (0, len(a), np.array([0])), 46, 0.8))
 
 
+def shared_passages(a, b, words_, similarity):
+    """Whether two texts have passages of words_ words with such a similarity of five-word shingles, by trying all."""
+    n = words_ - 4
+    x, y = ([tuple(t[k : k + 5]) for k in range(len(t) - 4)] for t in (a, b))
+    for i in range(len(x) - n + 1):
+        s = set(x[i : i + n])
+        for j in range(len(y) - n + 1):
+            u = set(y[j : j + n])
+            if len(s & u) >= similarity * len(s | u):
+                return True
+    return False
+
+
+def test_passages_against_brute_force(spark):
+    """Families whose least member doesn't share every passage, passages with changed words, and frequent phrases."""
+    rng = np.random.default_rng(77)
+    phrase, texts = prose(700, 12), []
+    for fam in range(10):
+        one, two = prose(710 + fam, 60).split(), prose(740 + fam, 60).split()
+        changed = list(two)
+        for k in rng.choice(60, 1):
+            changed[k] = f"odd{fam}"
+        texts += [prose(800 + fam, 30).split() + one + phrase.split(), prose(820 + fam, 20).split() + one + two, phrase.split() + prose(840 + fam, 15).split() + changed + prose(860 + fam, 25).split()]
+    texts += [prose(900 + k, 40).split() + phrase.split() + prose(930 + k, 40).split() for k in range(12)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {frozenset((r.doc_id, r.match_doc_id)) for r in passages.repeated_passages(df).collect()}
+    want = {frozenset((i, j)) for i in range(len(texts)) for j in range(i) if shared_passages(texts[i], texts[j], 50, 0.8)}
+    assert got <= want or all(shared_passages(*(texts[k] for k in p), 50, 0.79) for p in got - want)
+    assert len(want & got) >= 0.9 * len(want) and len(want) >= 20
+
+
 def test_compact_windows():
     rng = np.random.default_rng(5)
     v = rng.integers(1, 60, 400).astype(np.uint64)
