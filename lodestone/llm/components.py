@@ -5,34 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.scratch import saved
+from lodestone.llm.scratch import lookup, saved
 
 
-def _star(edges: DataFrame, both: bool) -> DataFrame:
+def _star(edges: DataFrame, both: bool, name: str) -> DataFrame:
     """Connect the neighbours of each node that are larger than it (both ways round) or the smaller ones, to the least
-    of the neighbourhood. Sums of a node's edges are taken before the shuffle, so that a hub is one small row a task."""
+    of the neighbourhood. A node's least neighbour is combined before the shuffle, and the neighbours of a hub don't
+    meet in one task: `lookup` deals them apart."""
     if both:
         near = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = near.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("of"), F.least("a", "m").alias("m"))
-    joined = near.join(least, F.col("a") == F.col("of"))
+    least = near.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("fill")).select("a", F.least("a", "m").alias("m"), "fill")
+    least = saved(least, name)
+    joined = lookup(near, least, "a", "fill")
     if both:
         out = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("of").alias("a"), F.col("m").alias("b")))
+        out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
     return out.filter("a <> b").distinct()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(node, component) for the nodes of edges (a, b); a component is named by its least node."""
+    """(node, component) for the nodes of edges (a, b); a component is named by its least node. The end is reached when
+    a round gives the edges that it got: compared row by row, as sums of hashes may agree by chance."""
     now = saved(edges.select("a", "b").filter("a <> b").distinct(), name)
-    mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
-    while True:
-        now = saved(_star(_star(now, True), False), name)
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
-        if new == mark:
+    n = now.count()
+    while n:
+        large = saved(_star(now, True, name), name)
+        new = saved(_star(large, False, name), name)
+        was, n = n, new.count()
+        same = n == was and not new.join(now, ["a", "b"], "left_anti").limit(1).count()
+        now = new
+        if same:
             break
-        mark = new
     leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return leaves.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -3,15 +3,17 @@
 Texts with the same words are one node at once. Each of a node's different five-word shingles, however often it is
 repeated, is a Poisson process of rate one, whose arrivals, drawn from the shingle's hash, fall in random registers. A
 register keeps its earliest arrival, and the probability that two nodes agree in a register is the Jaccard similarity of
-their shingle sets, by which links are accepted too. Arrivals are drawn in order for all shingles at once, and a shingle stops when its next arrival is
-later than every register's: nothing after it could count.
+their shingle sets, by which links are accepted too. Arrivals are drawn in order for all shingles at once, and a shingle stops when its next
+arrival is later than every register's: nothing after it could count.
 
 Bands of registers give candidates. Nodes that share a band form a family (a star around the least node of each band,
 then connected components). Families are then resolved by the exact Jaccard similarity of shingle sets: each node
-against the family's hub, the node whose bands are fullest; what doesn't match the hub against the whole family, in
-tasks of two blocks of nodes, where registers rule out pairs before sets are compared. Every link between texts of a
-family is found or is inside a class that is joined already, no pair is written that isn't a link, and no task holds
-more than two blocks whatever the group's size.
+against the family's hub, the node whose bands are fullest; what doesn't match the hub against those it can match. One
+minus the Jaccard similarity is a metric, so that only nodes whose distances to the hub differ by no more than a link's
+can be linked: nodes are put in rings of that width around the hub, and blocks of a ring meet blocks of the same and
+of the next ring, where registers rule out pairs before sets are compared. Every link between texts of a family is found
+or is inside a class that is joined already, no pair is written that isn't a link, and no task holds more than two
+blocks whatever the group's size. Rows of hot bands, families and classes are dealt apart.
 
 Defined cases: a text without words (null, empty or blank) is alone in its class; shorter than five words, its one
 shingle is the whole text; rows with equal texts share a class; a class is named by its least doc_id, or null if all
@@ -26,13 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.components import components
-from lodestone.llm.scratch import release_shuffles, saved
+from lodestone.llm.scratch import lookup, release_shuffles, saved
 from lodestone.llm.words import Tokens, chunks, column_bytes, mix64, ngrams, sequence_hashes, tokenise
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
 BLOCK = 128
+#: Members of a family that are compared with the hub in one task.
+HUB_ROWS = 1024
 #: So many numbers of rows that go are sent to every executor; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 _U = np.uint64
@@ -129,8 +133,6 @@ def _similarities(texts: list[str], width: int):
             return 0.0
         if len(a) > len(b):
             a, b = b, a
-        if len(a) < 0.5 * len(b):
-            return len(a) / len(b)
         both = np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a)
         return both / (len(a) + len(b) - both)
 
@@ -140,39 +142,40 @@ def _similarities(texts: list[str], width: int):
 def _families(nodes: DataFrame) -> DataFrame:
     """(node, family, hub) of the nodes that share a band with another one."""
     bands = nodes.select("node", F.explode("bands").alias("band"))
-    least = bands.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("fill")).filter("fill > 1")
-    shared = saved(bands.join(least, "band").select("node", "least", "fill"), "bands")
+    least = saved(bands.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("fill")).filter("fill > 1"), "least")
+    shared = saved(lookup(bands, least, "band", "fill").select("node", "least", "fill"), "bands")
     family = components(shared.select(F.col("node").alias("a"), F.col("least").alias("b")), "families")
     weight = shared.groupBy("node").agg(F.sum("fill").alias("fullness"))
     family = saved(family.join(weight, "node"), "family")
-    hub = family.groupBy("component").agg(F.max_by("node", F.struct("fullness", "node")).alias("hub"), F.count("*").alias("size"))
-    return family.join(hub, "component").select("node", F.col("component").alias("family"), "hub", "size")
+    hub = saved(family.groupBy("component").agg(F.max_by("node", F.struct("fullness", "node")).alias("hub"), F.count("*").alias("size")), "hubs")
+    return lookup(family, hub, "component", "size").select("node", F.col("component").alias("family"), "hub", "size")
 
 
 def resolve(docs: DataFrame, text: Column, similarity: float = SIMILARITY, width: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """The saved rows of docs with __uid and __node, and (node, component) of the nodes that have a near-duplicate.
-    text gives a row's text from the columns of docs."""
+    """The saved rows of docs with __uid and __node, and (__node, __class, fill) of all nodes, fill being the number of
+    their rows. text gives a row's text from the columns of docs."""
     table = saved(signatures(docs, text, bands, rows, width), "signatures")
-    nodes = table.filter("__node IS NOT NULL").groupBy(F.col("__node").alias("node")).agg(F.first("__bands").alias("bands"), F.min("__uid").alias("__uid"))
+    nodes = saved(table.filter("__node IS NOT NULL").groupBy(F.col("__node").alias("node")).agg(F.first("__bands").alias("bands"), F.min("__uid").alias("__uid"), F.count("*").alias("fill")), "nodes")
     family = _families(nodes).join(nodes.select("node", "__uid"), "node")
     member = family.join(table.select("__uid", text.alias("text"), F.col("__registers").alias("registers")), "__uid").drop("__uid")
     member = saved(member, "members")
     links = saved(_hub_links(member, similarity, width), "hub-links")
-    strays = saved(_unlinked(member, links, similarity), "strays")
-    more = _stray_links(member, strays, similarity, width, bands * rows)
+    more = _stray_links(member, links, similarity, width, bands * rows)
     edges = links.filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(more)
-    return table, components(edges, "classes")
+    named = nodes.select("node", "fill").join(components(edges, "classes"), "node", "left")
+    return table, saved(named.select(F.col("node").alias("__node"), F.coalesce("component", "node").alias("__class"), "fill"), "named")
 
 
 def _classed(table: DataFrame, classes: DataFrame, *columns) -> DataFrame:
     """__uid, __class and columns of the table's rows: equal classes are near-duplicates, saved without texts."""
-    named = classes.select(F.col("node").alias("__node"), "component")
-    found = table.select("__uid", "__node", *columns).join(named, "__node", "left")
-    return saved(found.withColumn("__class", F.coalesce("component", "__node", F.concat(F.lit("row "), F.col("__uid").cast("string")))).drop("component"), "found")
+    rows = table.select("__uid", "__node", *columns)
+    alone = rows.filter("__node IS NULL").withColumn("__class", F.concat(F.lit("row "), F.col("__uid").cast("string")))
+    return saved(lookup(rows.filter("__node IS NOT NULL"), classes, "__node", "fill").drop("fill").unionByName(alone), "found")
 
 
 def _hub_links(member: DataFrame, similarity: float, width: int) -> DataFrame:
-    """(family, node, hub, near): each node's similarity with its family's hub."""
+    """(family, node, hub, near): each node's similarity with its family's hub. A hub's text goes to one task for each
+    HUB_ROWS of its family."""
 
     def run(batches):
         for batch in batches:
@@ -187,72 +190,71 @@ def _hub_links(member: DataFrame, similarity: float, width: int) -> DataFrame:
             near = np.array(values, np.float64)
             yield pa.RecordBatch.from_arrays([family, node, hub, size, pa.array(near), pa.array(near >= similarity)], ["family", "node", "hub", "size", "near", "linked"])
 
-    hubs = member.filter("node = hub").select(F.col("node").alias("of"), F.col("text").alias("other"))
-    pairs = member.filter("node <> hub").join(hubs, F.col("hub") == F.col("of")).select("family", "node", "hub", "size", "text", "other")
+    parts = F.ceil(F.col("size") / HUB_ROWS).cast("int")
+    hubs = member.filter("node = hub").select(F.col("node").alias("of"), F.col("text").alias("other"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("at"))
+    mine = member.filter("node <> hub").withColumn("part", F.pmod(F.xxhash64("node"), parts))
+    pairs = mine.join(hubs, (F.col("hub") == F.col("of")) & (F.col("part") == F.col("at"))).select("family", "node", "hub", "size", "text", "other")
     return pairs.mapInArrow(run, "family string, node string, hub string, size long, near double, linked boolean")
 
 
-def _unlinked(member: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
-    """Nodes that aren't the hub's near-duplicates, of families where there is another node to compare them with."""
-    return links.filter("NOT linked AND size > 2").select("family", "node")
-
-
-def _stray_links(member: DataFrame, strays: DataFrame, similarity: float, width: int, registers: int) -> DataFrame:
-    """Links (a, b) between strays, and of strays with the other nodes of their family. Blocks of strays meet all
-    blocks of their family; the number of rows moved is blocks of strays x nodes."""
-    mine = strays.groupBy("family").agg(F.count("*").alias("strays"))
-    size = F.greatest(F.lit(1), F.ceil(F.col("strays") / BLOCK)).cast("int")
-    rows = member.filter("node <> hub").join(mine, "family").withColumn("stray_blocks", size).join(strays.select("node", F.lit(True).alias("stray")), "node", "left")
-    rows = rows.withColumn("stray", F.coalesce("stray", F.lit(False)))
-    own = F.pmod(F.xxhash64("node"), F.col("stray_blocks"))
-    others = F.greatest(F.lit(1), F.ceil((F.col("size") - F.col("strays")) / BLOCK)).cast("int")
-    other = F.pmod(F.xxhash64("node"), others)
-    # A task is a block of strays with itself, with a later block of strays, or with a block of the others.
-    i = F.sequence(F.lit(0), F.col("stray_blocks") - 1)
-    for_stray = F.concat(
-        F.transform(i, lambda k: F.struct(F.least(k, F.col("own")).alias("x"), F.greatest(k, F.col("own")).alias("y"))),
-        F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda k: F.struct(F.col("own").alias("x"), (-1 - k).alias("y"))),
+def _stray_links(member: DataFrame, links: DataFrame, similarity: float, width: int, registers: int) -> DataFrame:
+    """Links (a, b) of nodes that aren't the hub's near-duplicates. A block of a ring, other than the first, meets the
+    blocks of its own ring and of the one before it."""
+    ring = F.greatest(F.lit(1), F.ceil((1 - F.col("near")) / (1 - similarity) - 1e-9)).cast("int")
+    placed = links.filter("size > 2").select("family", "node", F.when(F.col("linked"), 1).otherwise(F.greatest(ring, F.lit(2))).alias("ring"))
+    count = placed.groupBy("family", "ring").agg(F.count("*").alias("n")).groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("ring", "n"))).alias("rings"))
+    count = saved(count.filter("size(rings) > 1 OR NOT map_contains_key(rings, 1)").withColumn("fill", F.aggregate(F.map_values("rings"), F.lit(0).cast("long"), lambda s, x: s + x)), "rings")
+    blocks = lambda r: F.ceil(F.coalesce(F.try_element_at("rings", r), F.lit(0)) / BLOCK).cast("int")
+    rows = lookup(saved(placed, "placed"), count, "family", "fill").withColumn("own", F.pmod(F.xxhash64("node"), blocks(F.col("ring"))).cast("int"))
+    # A task: ring, block, other ring (the same or the one before), other block.
+    task = lambda ring, x, other, y: F.struct(ring.alias("ring"), x.alias("x"), other.alias("other"), y.alias("y"))
+    each = lambda n, f: F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), f)).otherwise(F.array().cast(kind))
+    kind = "array<struct<ring:int,x:int,other:int,y:int>>"
+    r, own = F.col("ring"), F.col("own")
+    tasks = F.concat(
+        F.when(r > 1, each(blocks(r), lambda k: task(r, F.greatest(k, own), r, F.least(k, own)))).otherwise(F.array().cast(kind)),
+        F.when(r > 1, each(blocks(r - 1), lambda k: task(r, own, r - 1, k))).otherwise(F.array().cast(kind)),
+        each(blocks(r + 1), lambda k: task(r + 1, k, r, own)),
     )
-    for_other = F.transform(i, lambda k: F.struct(k.alias("x"), (-1 - F.col("other")).alias("y")))
-    rows = rows.withColumns({"own": own.cast("int"), "others": others, "other": other.cast("int")})
-    kind = "array<struct<x:int,y:int>>"
-    rows = rows.withColumn("task", F.explode(F.when(F.col("stray"), for_stray.cast(kind)).otherwise(for_other.cast(kind))))
-    rows = rows.select("family", "task.x", "task.y", "node", "stray", "own", "text", "registers")
+    dealt = rows.select("node", F.col("ring").alias("mine"), "own", F.explode(tasks).alias("task"), "family").select("family", "node", "mine", "own", "task.*")
+    dealt = dealt.join(member.select("node", "text", F.col("registers")), "node")
     low = similarity - 6 * np.sqrt(similarity * (1 - similarity) / registers)
 
     def run(table: pa.Table) -> pa.Table:
-        node, stray, own = (table.column(c).to_pylist() for c in ("node", "stray", "own"))
-        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
-        left = [k for k in range(len(node)) if stray[k] and own[k] == x]
-        right = left if x == y else [k for k in range(len(node)) if (stray[k] and own[k] == y if y >= 0 else not stray[k])]
+        node, mine, own = table.column("node").to_pylist(), table.column("mine").to_numpy(), table.column("own").to_numpy()
+        ring, x, other, y = (table.column(c)[0].as_py() for c in ("ring", "x", "other", "y"))
+        left = np.flatnonzero((mine == ring) & (own == x))
+        same = ring == other and x == y
+        right = left if same else np.flatnonzero((mine == other) & (own == y))
         marks = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint32).reshape(len(node), registers)
-        sim = _similarities(table.column("text").to_pylist(), width)
-        a, b = [], []
+        a, b, sim = [], [], None
         for k, p in enumerate(left):
-            rest = np.array(right[k + 1 :] if right is left else right, np.int64)
-            if len(rest):
-                for q in rest[(marks[rest] == marks[p]).mean(1) >= low]:
-                    if sim(p, int(q)) >= similarity:
-                        a.append(node[p])
-                        b.append(node[int(q)])
+            rest = right[k + 1 :] if same else right
+            for q in rest[(marks[rest] == marks[p]).mean(1) >= low] if len(rest) else ():
+                sim = sim or _similarities(table.column("text").to_pylist(), width)
+                if sim(int(p), int(q)) >= similarity:
+                    a.append(node[p])
+                    b.append(node[int(q)])
         return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
 
-    return rows.groupBy("family", "x", "y").applyInArrow(run, "a string, b string")
+    return dealt.groupBy("family", "ring", "x", "other", "y").applyInArrow(run, "a string, b string")
 
 
 def classes(docs: DataFrame, **options) -> DataFrame:
     """doc_id, class_id (the class's least doc_id), class_size (rows) and n_texts (different texts) for each row."""
     found = _classed(*resolve(docs.select("doc_id", "text"), F.col("text"), **options), "doc_id")
-    total = found.groupBy("__class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.countDistinct("__node").alias("n_texts"))
-    return found.join(total, "__class").select("doc_id", "class_id", "class_size", "n_texts")
+    # By text first, so that a text of many copies is one row a task, and a class one row a text.
+    texts = found.groupBy("__class", "__node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+    total = saved(texts.groupBy("__class").agg(F.min("least").alias("class_id"), F.sum("rows").alias("class_size"), F.count("__node").alias("n_texts")), "totals")
+    return lookup(found, total, "__class", "class_size").select("doc_id", "class_id", "class_size", "n_texts")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """docs with one row of each class: the one with the least doc_id, the first of repeated ones."""
     table, near = resolve(docs.select(F.struct("*").alias("row")), F.col("row")["text"], **options)
     found = _classed(table, near, F.col("row")["doc_id"].alias("doc_id"))
-    first = found.groupBy("__class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__uid").alias("uid"))).alias("first"))
-    gone = saved(found.join(first, "__class").filter(F.col("__uid") != F.col("first.uid")).select(F.col("__uid").alias("gone")), "gone")
+    first = saved(found.groupBy("__class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__uid").alias("uid"))).alias("first"), F.count("*").alias("fill")), "first")
+    gone = saved(lookup(found, first, "__class", "fill").filter(F.col("__uid") != F.col("first.uid")).select(F.col("__uid").alias("gone")), "gone")
     release_shuffles(docs.sparkSession)
     few = gone.count() <= BROADCAST_ROWS
     return table.select("__uid", "row").join(F.broadcast(gone) if few else gone, F.col("__uid") == F.col("gone"), "left_anti").select("row.*")
