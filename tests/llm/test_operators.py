@@ -1,6 +1,7 @@
 """Small tables with nulls, empty and long texts, ties, repeats and clashing columns, against plain Python."""
 
 import collections
+import concurrent.futures
 import functools
 import hashlib
 import math
@@ -175,13 +176,59 @@ def test_sharding(spark, docs, empty, tmp_path):
     before = table.manifest()
     assert table.compact() == 4 and table.manifest().count() < before.count() and table.manifest(3).count() == before.count()
     key = lambda df: sorted(map(str, df.collect()))
-    assert key(table.read()) == key(docs.unionByName(docs).unionByName(docs))
+    every = key(docs.unionByName(docs).unionByName(docs))
+    assert key(table.read()) == every
     with pytest.raises(sharding.CommitConflict):
         table.commit(before, 0, docs.schema.json())
-    assert table.expire(1) == 3 and key(table.read()) == key(docs.unionByName(docs).unionByName(docs))
+    assert table.expire(1) == 3 and key(table.read()) == every
+    table.append(docs.limit(5))
+    assert table.read().count() == len(every) + 5
     assert sharding.located(sharding.shard(empty), ["doc_id"]).count() == 0
 
 
+def test_sharding_plan(spark, tmp_path):
+    """Against plain Python: tiers by weight, fanout neighbours, no run over the target."""
+    rng = np.random.default_rng(4)
+    sizes = [int(x) for x in rng.integers(1, 60, 40)] + [500, 90, 1]
+    rows = [(f"f{i}", f"{i:03d}", 1, s, 4 * s, 0, 0, "d", len(sizes)) for i, s in enumerate(sizes)]
+    table = sharding.ShardTable(spark, str(tmp_path / "p"), target_bytes=200, fanout=4, smallest_bytes=4)
+    got = collections.defaultdict(set)
+    for r in table.plan(spark.createDataFrame(rows, sharding._SHARDS)).collect():
+        got[r.run].add(int(r["name"]))
+    runs = [(f"{i + 1:09d}", s, {i}) for i, s in enumerate(sizes)]
+    for _ in range(table.rounds()):
+        tiers = collections.defaultdict(list)
+        for run in sorted(runs):
+            tiers[max(0, math.ceil(math.log(run[1] / 4, 4) - 0.5)) if run[1] * 2 <= 200 else None].append(run)
+        runs = tiers.pop(None, [])
+        for line in tiers.values():
+            most = min(4, max(1, 200 // max(r[1] for r in line)))
+            for k in range(0, len(line), most):
+                part = line[k : k + most]
+                runs.append((part[0][0], sum(r[1] for r in part), set().union(*(r[2] for r in part))))
+    assert {frozenset(x) for x in got.values()} == {frozenset(r[2]) for r in runs} and all(r[1] <= 200 or len(r[2]) == 1 for r in runs)
+
+
+def test_sharding_race_names_and_clashes(spark, docs, tmp_path):
+    table = sharding.ShardTable(spark, str(tmp_path / "r"))
+    table.append(docs)
+    shards, schema = table.manifest(), docs.schema.json()
+
+    def attempt(_):
+        try:
+            return table.commit(shards, 1, schema)
+        except sharding.CommitConflict:
+            return None
+
+    with concurrent.futures.ThreadPoolExecutor(6) as pool:
+        assert sorted(map(str, pool.map(attempt, range(6)))) == ["2"] + ["None"] * 5
+    odd = docs.select("doc_id", F.lit(1).alias("shard"), F.lit(2).alias("Version"), F.lit(3).alias("__run"), F.lit("x").alias("name"), F.lit("m").alias("_metadata"), F.lit(5).alias("place"))
+    one, two = (sharding.located(sharding.shard(odd.repartition(3, "doc_id"), small_rows=2), odd.columns).collect() for _ in range(2))
+    assert one and one[0].asDict().keys() == {"doc_id", "shard_", "Version_", "__run", "name", "_metadata", "place", "shard", "shard_rows", "shard_bytes", "version"}
+    places = lambda rows: sorted((str(r.doc_id), r.shard, r.shard_rows) for r in rows)
+    assert places(one) == places(two) and sum({r.shard: r.shard_rows for r in one}.values()) == len(TEXTS)
+
+
 def test_near_duplicates(docs, empty):
     rows = neardup.classes(docs).collect()
     got = {r.doc_id: r.class_id for r in rows}
