@@ -2,7 +2,7 @@
 
 The writer gives each 64-byte row the filter whose residuals are smallest, packs rows into zlib chunks and guards each
 chunk by its CRC; the reader tests every checksum and undoes all five filters with numpy. A document is one row and
-one image, so nothing is shuffled and memory is a few copies of the longest text.
+one image, so nothing is shuffled and memory is a few copies of GROUP_BYTES of texts, or of the longest text.
 
 Defined cases: a null or empty text is one row of 64 zero bytes; a damaged image raises MediaError; equal payloads give
 equal images and features; repeated rows and null ids pass through; an empty table gives an empty result."""
@@ -17,11 +17,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lodestone.llm.words import chunks, column_bytes
+
 WIDTH = 64
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 #: Rows are filtered this many at a time.
 _BAND = 1 << 14
 _DATA = 1 << 20
+#: Texts of so many bytes are images at the same time, or one longer text.
+GROUP_BYTES = 4 << 20
 
 
 class MediaError(ValueError):
@@ -178,10 +182,10 @@ def media_columns(docs: DataFrame, keep_media: bool = True, level: int = 1) -> D
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for lo in range(0, len(texts), 256):
-                rows = [describe(t.as_py(), level) for t in texts[lo : lo + 256]]
+            for lo, hi in chunks(column_bytes(texts)[1], GROUP_BYTES):
+                rows = [describe(t.as_py(), level) for t in texts[lo:hi]]
                 columns = [pa.array([r[k] for r in rows], kind) for k, (n, kind) in enumerate(_FIELDS) if n in names]
-                yield pa.RecordBatch.from_arrays([ids[lo : lo + 256], *columns], ["doc_id", *names])
+                yield pa.RecordBatch.from_arrays([ids[lo:hi], *columns], ["doc_id", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {ddl}")
