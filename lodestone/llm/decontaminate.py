@@ -4,10 +4,12 @@ Items are cut into parts of at most `part` terms, a document into overlapping pa
 passage holds each copied part whole. A part's BM25 weights are divided by its own score, which makes the threshold
 one number for all parts. For each term the index has its largest weight in each block of parts of similar length: a
 passage skips each block whose sum of bounds is under the threshold, and only what is left is scored (block-max WAND
-with a fixed threshold, for many passages at once). Nothing over the threshold is lost. Hits are verified on the document: enough of the five-term runs of the item's question, and of the terms of its
-answer in order, must be there.
+with a fixed threshold, for many passages at once). Nothing over the threshold is lost. Hits are verified on the
+document: enough of the five-term runs of the item's question, and of the terms of its answer in order, must be there.
 
-The index is built by Spark and sent to the tasks in shards of bounded size, one pass over the documents for each.
+The index is built by Spark and sent to the tasks in shards of bounded size, one pass over the documents for each
+SHARD_BYTES of test items: the number of passes follows the benchmark and not the documents. Item ids, of any type,
+are carried as Arrow values.
 
 Defined cases: null or empty texts hold nothing and an item without terms matches nothing; items with equal text are
 all reported; an item of fewer than five terms is one run; rows with null ids are reported with null; repeated rows are
@@ -178,14 +180,14 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, ques
     out = None
     for k in range(shards):
         mine = F.pmod(F.col("item"), F.lit(shards)) == k
-        found = _pass(spark, docs, listed.filter(mine).toPandas(), weighed.filter(mine).toPandas(), threshold, question, answer, part)
+        found = _pass(spark, docs, listed.filter(mine).toArrow(), items.schema["item_id"].dataType.simpleString(), weighed.filter(mine).toPandas(), threshold, question, answer, part)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _pass(spark, docs, listed, weighed, threshold, question, answer, part) -> DataFrame:
+def _pass(spark, docs, listed: pa.Table, id_kind: str, weighed, threshold, question, answer, part) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id long, score double, question_overlap double, answer_overlap double"
+    schema = f"doc_id {kind}, item_id {id_kind}, score double, question_overlap double, answer_overlap double"
     if not len(weighed):
         return spark.createDataFrame([], schema)
     weighed = weighed.sort_values(["length", "item", "part"])
@@ -196,13 +198,13 @@ def _pass(spark, docs, listed, weighed, threshold, question, answer, part) -> Da
     for lo in range(0, parts, INDEX_PARTS):
         mine = (keys >= lo) & (keys < lo + INDEX_PARTS)
         indexes.append((lo, Index(term[mine], keys[mine] - lo, share[mine], min(parts - lo, INDEX_PARTS))))
-    item_at = {v: i for i, v in enumerate(listed["item"])}
+    item_at = {v: i for i, v in enumerate(listed.column("item").to_pylist())}
     part_item = np.zeros(parts, np.int64)
     part_item[keys] = weighed["item"].map(item_at)
-    halves = [split_item(t) for t in listed["text"]]
+    halves = [split_item(t) for t in listed.column("text").to_pylist()]
     q, a = _tokens([h[0] for h in halves]), _tokens([h[1] for h in halves])
     details = [(_runs(q, i), min(5, int(q.bounds[i + 1] - q.bounds[i])), a.hash[a.bounds[i] : a.bounds[i + 1]]) for i in range(len(halves))]
-    ids = [None if x != x or x is None else int(x) for x in listed["item_id"]]
+    ids = listed.column("item_id").combine_chunks()
     sent = spark.sparkContext.broadcast((indexes, part_item, details, ids))
 
     def run(batches):
@@ -229,9 +231,9 @@ def _pass(spark, docs, listed, weighed, threshold, question, answer, part) -> Da
                 for (d, i), score in best.items():
                     q_share, a_share = _overlap(details[i], t, d)
                     if q_share >= question and a_share >= answer:
-                        rows.append((lo + d, ids[i], score, q_share, a_share))
+                        rows.append((lo + d, i, score, q_share, a_share))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), *[pa.array([r[k] for r in rows], pa.int64() if k == 1 else pa.float64()) for k in range(1, 5)]],
+                [*[x.take(pa.array([r[k] for r in rows], pa.int64())) for k, x in enumerate((batch.column(0), ids))], *[pa.array([r[k] for r in rows], pa.float64()) for k in range(2, 5)]],
                 ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
             )
 
