@@ -2,8 +2,10 @@
 
 A byte-pair vocabulary packs written language into few tokens; random characters it does not. A run of at least
 `shortest` key-like characters whose characters for each token fall below `ratio` is reported, unless it is a known
-digest (a hexadecimal run of a digest's length), a UUID, a number, an identifier (letters and digits joined by
-separators, each piece of letters one token or token-efficient itself) or already within a base span. One document is one row; nothing is shuffled; runs are encoded in pieces of bounded length.
+digest (a hexadecimal run of a digest's length with a digest's name just before it), a UUID, a number, an identifier
+(letters and digits joined by separators, each piece of letters one token or token-efficient itself) or already within a
+base span. One document is one row; nothing is shuffled; runs are encoded in pieces of bounded length, and base spans
+are searched by bisection, so that a very long text takes time in proportion to its length.
 
 Defined cases: a null or empty text has no spans and the digest of ''; positions are code points; repeated rows and
 null ids pass through; an empty table gives an empty result."""
@@ -11,7 +13,9 @@ null ids pass through; an empty table gives an empty result."""
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
+import itertools
 import re
 
 import pyarrow as pa
@@ -31,6 +35,9 @@ _NAME = re.compile(r"(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]+)(?:[+/_=-]+(?:[A-Za-z]?[a-
 _PIECES = re.compile(r"[A-Za-z]+")
 #: Lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hexadecimal.
 DIGESTS = frozenset({32, 40, 56, 64, 96, 128})
+#: Names that announce a digest, and how far before it they may end.
+_LABEL = re.compile(r"(?:md5|sha-?[0-9]+|digest|checksum|hash|commit|etag|integrity|fingerprint)[^0-9A-Za-z]{0,8}\Z", re.IGNORECASE)
+_NEAR = 32
 _PIECE = 256
 
 
@@ -64,9 +71,10 @@ class Scanner:
         """Characters for each token."""
         return len(run) / sum(len(self.codec.encode_ordinary(run[i : i + _PIECE])) for i in range(0, len(run), _PIECE))
 
-    def excluded(self, run: str) -> bool:
+    def excluded(self, run: str, before: str = "") -> bool:
+        """before: the text just before the run."""
         core = run.strip("-=_/+")
-        if _HEX_ONLY.match(core) and len(core) in DIGESTS or _UUID.match(core):
+        if _HEX_ONLY.match(core) and len(core) in DIGESTS and _LABEL.search(before) or _UUID.match(core):
             return True
         return bool(_NAME.match(core)) and all(map(self.written_language, _PIECES.findall(core)))
 
@@ -76,11 +84,14 @@ class Scanner:
 
     def spans(self, text: str) -> tuple[list, list]:
         """(base spans, spans that the method adds)."""
-        base = base_spans(text)
-        added = []
+        base, added = base_spans(text), []
+        starts = sorted(s for _, s, _ in base)
+        # The furthest end of the spans that start no later than each.
+        ends = list(itertools.accumulate((e for _, _, e in sorted(base, key=lambda x: x[1])), max))
         for m in self.run.finditer(text):
             s, e = m.span()
-            if not any(s < b and a < e for _, a, b in base) and not self.excluded(m[0]) and self.efficiency(m[0]) < self.ratio:
+            k = bisect.bisect_left(starts, e)
+            if not (k and ends[k - 1] > s) and not self.excluded(m[0], text[max(0, s - _NEAR) : s]) and self.efficiency(m[0]) < self.ratio:
                 added.append(("random", s, e))
         return base, added
 
