@@ -3,8 +3,9 @@
 Each letter has a random vector of +-1, drawn from its code point and a seed. An n-gram of letters is the product of
 its letters' vectors, each rotated by its place; a document is the sum of its n-grams' vectors; a language is the sum
 of its training documents. A document gets the language whose vector has the largest cosine with its own. The sums of
-a language are added up in each task and then across tasks, so that only languages x dimensions numbers are shuffled
-and collected, whatever the corpus.
+a language are added up in each task and then across tasks, so that only languages x dimensions numbers are shuffled,
+whatever the corpus. Language vectors come to the driver and go to the tasks LABELS at a time; with more labels than
+that, documents are compared with one block of them after another and keep the best.
 
 Defined cases: a text that is null or has no letter is `und` with score 0, as is every text where nothing can be
 learnt; rows with null lang teach nothing; a null doc_id counts as the text ''; equal cosines go to the label first by
@@ -12,6 +13,7 @@ code point; repeated rows count as often as they occur; an empty table gives an
 
 from __future__ import annotations
 
+import itertools
 from functools import lru_cache
 
 import numpy as np
@@ -19,13 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm.scratch import saved
 from lodestone.llm.words import chunks, column_bytes
 
 DIMENSIONS = 1024
 ORDER = 3
 SEED = 1729
-#: Prototypes are collected and sent to the tasks; this many labels are 64 MB.
-MOST_LABELS = 8192
+#: Labels that are collected and sent to the tasks at once: 64 MB of vectors.
+LABELS = 8192
 _SPACE = 32
 
 
@@ -103,8 +106,8 @@ def _blocks(column: pa.Array):
             lo = top
 
 
-def learn(docs: DataFrame, dimensions: int = DIMENSIONS, order: int = ORDER, seed: int = SEED) -> dict[str, np.ndarray]:
-    """Language vectors of documents (text, lang). One vector for each label comes to the driver."""
+def learn(docs: DataFrame, dimensions: int = DIMENSIONS, order: int = ORDER, seed: int = SEED) -> DataFrame:
+    """(lang, v): language vectors of documents (text, lang), saved."""
 
     def run(batches):
         sums: dict[str, np.ndarray] = {}
@@ -117,42 +120,57 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, order: int = ORDER, see
                 groups = np.array([at[x] for x in langs], np.int64)[doc]
                 for x, v in zip(names, _sums(groups, which, letters, len(names), dimensions, seed)):
                     sums[x] = sums.get(x, 0) + v
+                if len(sums) >= LABELS:
+                    yield packed(sums)
+                    sums = {}
+        yield packed(sums)
+
+    def packed(sums):
         names = sorted(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([sums[x].astype(np.int64) for x in names], pa.list_(pa.int64()))], ["lang", "v"])
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([sums[x].astype(np.int64) for x in names], pa.list_(pa.int64()))], ["lang", "v"])
 
     known = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
     parts = known.mapInArrow(run, "lang string, v array<long>")
     total = parts.select("lang", F.posexplode("v").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x"))
     rows = total.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda s: s["x"]).alias("v"))
-    rows = rows.limit(MOST_LABELS + 1).collect()
-    if len(rows) > MOST_LABELS:
-        raise ValueError(f"more than {MOST_LABELS} labels")
-    return {r["lang"]: np.array(r["v"], np.float64) for r in sorted(rows, key=lambda r: r["lang"]) if any(r["v"])}
+    return saved(rows.filter(F.exists("v", lambda x: x != 0)), "languages")
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], order: int = ORDER, seed: int = SEED) -> DataFrame:
+def predict(docs: DataFrame, prototypes: DataFrame, labels: int = LABELS, order: int = ORDER, seed: int = SEED) -> DataFrame:
     """docs (row: a struct with text) to (row, lang_pred, score)."""
-    names = list(prototypes)
-    matrix = np.stack([v / np.linalg.norm(v) for v in prototypes.values()]) if names else np.zeros((0, 1))
-    dimensions = matrix.shape[1]
-
-    def run(batches):
-        for batch in batches:
-            for lo, hi, texts in _blocks(batch.column(0).field("text")):
-                (doc, which), _, letters = _profile(texts, order)
-                v = _sums(doc, which, letters, len(texts), dimensions, seed)
-                norm = np.linalg.norm(v, axis=1)
-                has = np.zeros(len(texts), bool)
-                has[doc] = True
-                labels, scores = ["und"] * len(texts), np.zeros(len(texts))
-                if names:
-                    cosines = np.round(v @ matrix.T / np.maximum(norm, 1e-9)[:, None], 9)
+    sc = docs.sparkSession.sparkContext
+    ddl = f"row {docs.schema['row'].dataType.simpleString()}, lang_pred string, score double"
+    out = docs.select("row", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    block: list = []
+    # In order of their names, so that of equal cosines the first one stays.
+    rows = prototypes.orderBy("lang")
+    local = iter(rows.collect() if prototypes.count() <= labels else rows.toLocalIterator())
+
+    def compared(before: DataFrame, block: list) -> DataFrame:
+        matrix = np.stack([np.array(r["v"], np.float64) for r in block])
+        sent = sc.broadcast(([r["lang"] for r in block], (matrix / np.linalg.norm(matrix, axis=1, keepdims=True)).T))
+
+        def run(batches):
+            names, unit = sent.value
+            for batch in batches:
+                for lo, hi, texts in _blocks(batch.column(0).field("text")):
+                    (doc, which), _, letters = _profile(texts, order)
+                    v = _sums(doc, which, letters, len(texts), len(unit), seed)
+                    has = np.zeros(len(texts), bool)
+                    has[doc] = True
+                    cosines = np.round(v @ unit / np.maximum(np.linalg.norm(v, axis=1), 1e-9)[:, None], 9)
                     best = cosines.argmax(1)
-                    labels = [names[b] if h else "und" for b, h in zip(best, has)]
-                    scores = np.where(has, np.clip(cosines[np.arange(len(texts)), best], 0, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(labels, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
+                    said, scores = batch.column(1)[lo:hi].to_pylist(), batch.column(2)[lo:hi].to_numpy()
+                    mine = np.clip(cosines[np.arange(len(texts)), best], 0, 1)
+                    new = has & ((np.array(said, object) == "und") | (mine > scores))
+                    labels_ = [names[b] if n else x for b, n, x in zip(best, new, said)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(labels_, pa.string()), pa.array(np.where(new, mine, scores), pa.float64())], ["row", "lang_pred", "score"])
+
+        return before.mapInArrow(run, ddl)
 
-    return docs.mapInArrow(run, f"row {docs.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    while block := list(itertools.islice(local, labels)):
+        out = compared(out, block)
+    return out
 
 
 def identify(docs: DataFrame, folds: int = 3, held: int = 1, **options) -> DataFrame:
@@ -167,9 +185,6 @@ def identify(docs: DataFrame, folds: int = 3, held: int = 1, **options) -> DataF
 
 def op10_language(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    base = docs.select("doc_id", "text", "lang")
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
-    said = predict(docs.select(F.struct("doc_id", "text").alias("row")), learn(base.filter(~fold)))
-    return said.select(F.col("row")["doc_id"].alias("doc_id"), "lang_pred", "score").select(
-        "doc_id", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1).alias("held_out"), "lang_pred", "score"
-    )
+    said = predict(docs.select(F.struct("doc_id", "text").alias("row")), learn(docs.filter(~fold)))
+    return said.select(F.col("row")["doc_id"].alias("doc_id"), "lang_pred", "score").select("doc_id", fold.alias("held_out"), "lang_pred", "score")
