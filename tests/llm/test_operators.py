@@ -80,6 +80,15 @@ def test_media(docs, empty):
     image[len(image) // 2] ^= 1
     with pytest.raises(media.MediaError):
         media.decode_png(bytes(image))
+    samples = np.frombuffer(media.padded(LONG.encode()), np.uint8).reshape(-1, 64)
+    h, w = samples.shape
+    strip = lambda n, k, i: max(0.0, min(i + 1, (k + 1) * n / 32) - max(i, k * n / 32)) * 32 / n
+    rows_, cols = (np.array([[strip(n, k, i) for i in range(n)] for k in range(32)]) for n in (h, w))
+    small = rows_ @ samples.astype(float) @ cols.T
+    wave = lambda k, i: math.cos(math.pi * (2 * i + 1) * k / 64) * math.sqrt((1 if k == 0 else 2) / 32)
+    low = [round(sum(small[y, x] * wave(u, y) * wave(v, x) for y in range(32) for x in range(32)), 6) for u in range(8) for v in range(8)]
+    middle = sorted(low[1:])[31]
+    assert "".join(f"{b:08b}" for b in media.cosine_hash(samples)) == "".join("01"[int(x > middle)] for x in low)
     lines = np.random.default_rng(0).integers(0, 256, (10, 9), dtype=np.uint8)
     lines[:, 0] = [0, 1, 2, 3, 4, 4, 3, 2, 1, 0]
     back = np.zeros((10, 8), int)
@@ -93,6 +102,61 @@ def test_media(docs, empty):
     assert media.media_columns(empty).count() == 0
 
 
+def test_mix_of_repeated_and_null_ids_comes_near_its_target(spark):
+    """Draws are each row's own: 300 different texts without an id, and one row 400 times."""
+    rows = [(None, prose(3000 + i, 10), "a") for i in range(300)] + [(7, prose(3500, 10), "b")] * 400 + [(i, prose(3600 + i, 10), "c") for i in range(100)]
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        got = mixing.mix(df).groupBy("row.source").agg(F.first("target").alias("target"), F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("source_size").alias("all"), F.max("copies").alias("most")).collect()
+        assert len(got) == 3 and all(abs(r.taken - r.target) <= 0.1 * r["all"] and r.most <= 2 for r in got)
+        counts = sorted((r.source, r.copies, r["count"]) for r in mixing.mix(df).groupBy("row.source", "copies").count().collect())
+        assert parts == 1 or counts == before
+        before = counts
+
+
+def test_items_keep_their_ids(spark):
+    """Big numbers beside a null one, and ids that are strings."""
+    text, other = prose(3800, 40), prose(3801, 40)
+    docs_ = spark.createDataFrame([(1, f"a b {text} c"), (2, f"{other} d")], "doc_id long, text string")
+    items = spark.createDataFrame([(9007199254740993, text), (None, other)], "item_id long, text string")
+    for one, want in ((items, {(1, 9007199254740993), (2, None)}), (items.withColumn("item_id", F.concat(F.lit("i"), "item_id")), {(1, "i9007199254740993"), (2, None)})):
+        assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs_, one).collect()} == want
+
+
+def test_decontamination_against_exhaustive_scores(spark):
+    """Every pair over the threshold by plain BM25 of all passages and parts, then the same overlap test: no pair is lost
+    by bounds and blocks. Items share words with documents in many degrees."""
+    rng = np.random.default_rng(31)
+    items = [prose(4000 + i, int(rng.integers(8, 150))) for i in range(60)]
+    texts = []
+    for i in range(80):
+        w = items[int(rng.integers(0, 60))].split()
+        lo, n = int(rng.integers(0, max(1, len(w) // 2))), int(rng.integers(3, len(w) + 1))
+        texts.append(" ".join([*prose(4100 + i, int(rng.integers(0, 120))).split(), *(x if rng.random() > 0.1 else "other" for x in w[lo : lo + n]), *prose(4200 + i, 30).split()]))
+    part, threshold = decontaminate.PART, 0.5
+    parts = []
+    for k, t in enumerate(items):
+        w, n = t.split(), max(1, -(-len(t.split()) // part))
+        parts += [(k, [x for j, x in enumerate(w) if j * n // len(w) == p]) for p in range(n)]
+    mean, df = sum(len(p) for _, p in parts) / len(parts), collections.Counter(x for _, p in parts for x in set(p))
+    idf = {x: math.log(1 + (len(parts) - c + 0.5) / (c + 0.5)) for x, c in df.items()}
+    weigh = lambda p, x: idf[x] * p.count(x) * 2.2 / (p.count(x) + 1.2 * (0.25 + 0.75 * len(p) / mean))
+    want = {}
+    for d, t in enumerate(texts):
+        w = t.split()
+        for lo in range(0, len(w), part):
+            have = set(w[lo : lo + 2 * part])
+            for k, p in parts:
+                score = sum(weigh(p, x) for x in set(p) & have) / sum(weigh(p, x) for x in set(p))
+                if score >= threshold:
+                    want[d, k] = max(want.get((d, k), 0), score)
+    frame = lambda rows, name: spark.createDataFrame(list(enumerate(rows)), f"{name} long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(frame(texts, "doc_id").repartition(3), frame(items, "item_id"), question=0.0, answer=0.0).collect()}
+    assert got.keys() == want.keys() and len(want) > 40 and all(math.isclose(got[k].score, s, abs_tol=1e-5) for k, s in want.items())
+    strict = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(frame(texts, "doc_id"), frame(items, "item_id")).collect()}
+    assert strict == {k for k, r in got.items() if r.question_overlap >= 0.5 and r.answer_overlap >= 0.5} and strict != got.keys()
+
+
 def test_decontamination(spark, docs, empty):
     question, answer = prose(20, 30) + ".", prose(21, 12) + "."
     items = spark.createDataFrame([(1, f"{question} {answer}"), (2, prose(22, 40)), (3, None), (None, PASSAGE), (5, ""), (6, prose(23, 150))], "item_id long, text string")
@@ -355,6 +419,37 @@ def test_secrets_of_letters_only(spark):
     assert {r.doc_id: r.spans for r in secrets.find_secrets(rows).collect()} == {i: f"random:4:{4 + len(t)}" if i < len(found) else "" for i, t in enumerate(found + left)}
 
 
+def test_secrets_against_plain_python(spark):
+    """Base spans by the patterns, digests only beside a label, capitals as found; then every span of the method."""
+    import base64
+
+    import tiktoken
+
+    with open(secrets.VOCABULARY, "rb") as f:
+        ranks = f.read()
+    codec = tiktoken.Encoding("t", pat_str=secrets.SPLIT, mergeable_ranks={base64.b64decode(a): int(b) for a, b in (x.split() for x in ranks.splitlines() if x.strip())}, special_tokens={})
+    rng, alphabet = np.random.default_rng(12), list("abcdefABCDEF0123456789xyzXYZ+/_=- :\"'.é")
+    key = "".join(rng.choice(list("0123456789ABCDEF"), 32))
+    texts = ["".join(rng.choice(alphabet, 80)) for _ in range(150)] + [f"key {key} end", f"sha256: {key} end", "xkqzvjwpqhgtrzlmbwfd", f"api-key secret = '{key}' token: {key.lower()}", "AKIA" + key]
+    patterns = {"assign": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}
+    scanner, random = secrets.Scanner(ranks), 0
+    for t in texts:
+        base = sorted(((k, *m.span()) for k, p in patterns.items() for m in re.finditer(p, t, re.ASCII) if len(m[m.re.groups]) >= {"assign": 12, "access": 18, "hex": 16}[k]), key=lambda x: (x[1], list(patterns).index(x[0])))
+        got, added = scanner.spans(t)
+        assert sorted(got, key=lambda x: (x[1], list(patterns).index(x[0]))) == base
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", t):
+            pieces = [m[0][i : i + 256] for i in range(0, len(m[0]), 256)]
+            thin = len(m[0]) / sum(len(codec.encode_ordinary(p)) for p in pieces) < 2
+            if thin and not any(s < m.end() and m.start() < e for _, s, e in base) and not scanner.excluded(m[0], t[max(0, m.start() - 32) : m.start()]):
+                want.append(("random", *m.span()))
+        assert added == want
+        random += len(want)
+    assert random > 20
+    rows = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts[-5:])), "doc_id long, text string")).collect()
+    assert [r.spans.count("random") for r in rows] == [1, 0, 1, 0, 0] and rows[3].n_assign == 2 and rows[4].n_access == 1
+
+
 def test_passages(docs, empty):
     rows = {(r.doc_id, r.match_doc_id) for r in passages.repeated_passages(docs).collect()}
     pairs = {frozenset(p) for p in rows}
@@ -438,12 +533,40 @@ def test_languages(spark, docs, empty):
     assert got[4] == got[5] == got[10] == got[11] == "und" and languages.identify(empty).count() == 0
 
 
+def test_languages_against_plain_python(spark):
+    """Cosines of sums of products of rotated letter vectors, by loops; labels in one block and one by one."""
+    r, texts = np.random.default_rng(3), []
+    for i in range(24):
+        texts.append((i, " ".join("".join(r.choice(list(("abcé", "bcdx", "xyza", "Zabü")[i % 4]), 4)) for _ in range(12)) + " 42", "pqrs"[i % 4]))
+    dims, vector = 64, lambda c: (np.random.default_rng([languages.SEED, ord(c)]).integers(0, 2, 64, dtype=np.int8) * 2 - 1).astype(float)
+
+    def profile(t):
+        t = " " + " ".join(re.findall(r"[^\W\d_]+", t.lower())) + " "
+        return sum(np.roll(vector(t[k]), 2) * np.roll(vector(t[k + 1]), 1) * vector(t[k + 2]) for k in range(len(t) - 2))
+
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    proto = {x: sum(profile(t) for i, t, y in texts if y == x and not held(i)) for x in "pqrs"}
+    df = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(3)
+    for labels in (8192, 1):
+        said = languages.predict(df.select(F.struct("*").alias("row")), languages.learn(df.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1), dimensions=dims), labels).collect()
+        assert len(said) == 24
+        for s in said:
+            v = profile(s.row.text)
+            cosine = {x: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) for x, p in proto.items()}
+            assert s.lang_pred == max(sorted(cosine), key=lambda x: round(cosine[x], 9)) and math.isclose(s.score, max(0, max(cosine.values())), abs_tol=1e-6)
+
+
 def test_pipeline(spark, docs, tmp_path):
-    d = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    d = docs.select("doc_id", "text", "lang", "source", "n_chars", F.lit("s").alias("shard"), F.lit(0).alias("Version"), F.lit(1).alias("__key"), F.lit(2).alias("row"))
+    d = d.unionByName(d.filter("doc_id IN (1, 7)"))
     d.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    for _, stage in corpus_pipeline.STAGES[:3]:
-        d = stage(spark, d, str(tmp_path))
-        assert d.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    assert {r.doc_id for r in d.collect()} == {1, 6, 9, None}
-    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} <= {1, 6, 9, None}
+    kept = [[1, 1, 2, 3, 6, 7, 7, 8, 9, 9, None], [1, 6, 7, 8, 9, None], [1, 6, 9, None]]
+    step, ids = d, lambda df: sorted((r.doc_id for r in df.collect()), key=str)
+    for (_, stage), want in zip(corpus_pipeline.STAGES, kept):
+        step = stage(spark, step, str(tmp_path))
+        assert step.columns == d.columns and ids(step) == sorted(want, key=str)
+    taken = mixing.mix(step).select("row.doc_id", "copies").collect()
+    assert ids(corpus_pipeline.run(spark, str(tmp_path))) == sorted((r.doc_id for r in taken for _ in range(r.copies)), key=str) != []
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, d.limit(0), str(tmp_path)).count() == 0
