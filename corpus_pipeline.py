@@ -1,7 +1,8 @@
 """From raw documents to training shards: language, near-duplicates, benchmark leaks, source mix, shards.
 
 Every stage is a function (spark, docs, sf_dir) and works on all rows that its predecessor kept; all but the last
-return the columns of documents."""
+return the columns of documents, in their order, whatever other columns there are. An empty table goes through all of
+them; nulls, empty texts and repeated rows are handled as each stage says."""
 
 from __future__ import annotations
 
@@ -16,30 +17,36 @@ ORACLE_SQL = None
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without a letter go."""
+    """Documents in a language that the labelled ones teach. Those without a letter go: null, empty and blank texts,
+    digits and signs; all go if no row has a label. Repeated rows stay each."""
     return languages.identify(docs).filter("lang_pred <> 'und'").select("row.*")
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class."""
+    """One document of each near-duplicate class, the one with the least doc_id, null last; of repeated rows the first.
+    A text without words is a class of its own and stays."""
     return neardup.keep_one(docs)
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item. Leaks are found by a hash of id and text, as ids may be null or repeated."""
-    key = F.xxhash64(F.col("doc_id"), F.col("text"))
-    keyed = docs.select(key.alias("doc_id"), "text")
-    leaks = saved(decontaminate.contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("__leak")).distinct(), "leaks")
-    return docs.withColumn("__key", key).join(leaks, F.col("__key") == F.col("__leak"), "left_anti").drop("__key")
+    """Documents that hold no test item. A document is found again by its id, which may be null or repeated, and a hash
+    of its text; null and empty texts hold nothing and stay."""
+    key = F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc_id")
+    found = decontaminate.contaminated(docs.select(key, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leaks = saved(found.select("doc_id.*").distinct(), "leaks")
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("row")["doc_id"].eqNullSafe(leaks["doc_id"]) & (F.xxhash64(F.col("row")["text"]) == leaks["text_hash"])
+    return rows.join(leaks, same, "left_anti").select("row.*")
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them; those without words are never taken."""
     return mixing.take(docs)
 
 
 def shard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in compacted shards, with the shard of each."""
+    """The documents in compacted shards, with the shard of each. A column of documents that is named like one of the
+    shard's gets an underscore after it."""
     return sharding.located(sharding.shard(docs), docs.columns)
 
 
