@@ -32,7 +32,7 @@ from lodestone.llm.words import _STEP, chunks, column_bytes, mix64, tokenise
 
 ORDER = 3
 #: Bytes of text in a block and tokens in a bucket: at least, and at most for the memory of a task.
-BLOCK_BYTES, MOST_BLOCK_BYTES = 8 << 20, 32 << 20
+BLOCK_BYTES, MOST_BLOCK_BYTES = 6 << 20, 24 << 20
 BUCKET_TOKENS, MOST_BUCKET_TOKENS = 4_000_000, 16_000_000
 #: Up to so many bytes of text the smallest blocks do.
 SMALL_CORPUS = 64 << 30
@@ -87,14 +87,28 @@ def discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.where(c <= GOOD_TURING, d[np.minimum(c, GOOD_TURING)] * c, c - ABSOLUTE)
 
 
+def different(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted different keys, where each stands, the number of each key), with less memory than numpy's own."""
+    order = np.argsort(keys)
+    arranged = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = arranged[1:] != arranged[:-1]
+    arranged, first = arranged[new], order[new]
+    number = np.cumsum(new, dtype=np.int32)
+    number -= 1
+    which = np.empty(len(keys), np.int32)
+    which[order] = number
+    return arranged, first.astype(np.int32) if len(keys) < 2**31 else first, which
+
+
 class _Block:
     """The tokens of a block; texts end with the end token. For each order n, from 1: grams[n], the sorted hashes of the
-    different n-grams; first[n], where each stands first; which[n], the number of the n-gram that ends at a token;
+    different n-grams; first[n], where each stands once; which[n], the number of the n-gram that ends at a token;
     context[n], the number of the order n - 1 before a token, len(grams[n - 1]) where that is only starts."""
 
     def __init__(self, words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, train: np.ndarray, order: int):
         self.lengths = lengths
-        self.doc = np.repeat(np.arange(len(lengths)), lengths)
+        self.doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         self.train = train[self.doc]
         begin = np.cumsum(lengths) - lengths
         self.grams, self.which, self.context, self.starts = [None, words], [None, tokens], [None, None], [None, START]
@@ -103,11 +117,11 @@ class _Block:
             before = np.empty(len(tokens), np.int32)
             before[1:] = self.which[-1][:-1]
             before[begin] = len(self.grams[-1])
-            h = np.append(self.grams[-1], self.starts[-1])[before]
-            key, first, which = np.unique(mix64(h * _STEP[0] + words[tokens] * _STEP[1] + _U(n)), return_index=True, return_inverse=True)
-            self.grams.append(key)
-            self.first.append(first)
-            self.which.append(which.astype(np.int32))
+            key = np.append(self.grams[-1], self.starts[-1])[before]
+            key *= _STEP[0]
+            key += words[tokens] * _STEP[1] + _U(n)
+            for kept, x in zip((self.grams, self.first, self.which), different(mix64(key))):
+                kept.append(x)
             self.context.append(before)
             self.starts.append(mix64(np.array([START + _U(n)]))[0])
 
@@ -145,11 +159,11 @@ def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                     # An end after each text's words.
                     hashes.append(np.insert(t.hash, t.bounds[1:], END))
                     lengths.append(np.diff(t.bounds) + 1)
-                words, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
+                words, _, tokens = different(np.concatenate(hashes))
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([(part << 32) + number]), "ids": pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(0)[lo:hi]),
                     "lengths": [np.concatenate(lengths).astype(np.int32).tobytes()], "train": [train[lo:hi].tobytes()],
-                    "words": [sorted_planes(words)], "tokens": [planes(tokens.astype(np.int32))], "n": pa.array([len(tokens)]),
+                    "words": [sorted_planes(words)], "tokens": [planes(tokens)], "n": pa.array([len(tokens)]),
                 })
                 number += 1
 
@@ -173,11 +187,12 @@ def _requests(blocks: DataFrame, n: int, order: int, buckets: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
                 b = _unpack(row, min(n + 1, order))
                 keys, counts, wanted = b.grams[n], b.counts(n).astype(np.uint64), b.wanted(n)
                 cut = _cuts(keys, buckets)
                 full = np.flatnonzero(np.diff(cut)).tolist()
+                del b
                 part = lambda pack_, x: pa.array([pack_(x[cut[k] : cut[k + 1]]) for k in full], pa.binary())  # noqa: B023, E731
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array(full, pa.int32()), "block": pa.array([row["block"]] * len(full), pa.int64()),
@@ -195,7 +210,8 @@ def _count(table: pa.Table) -> pa.Table:
     rows = table.select(["keys", "counts", "wanted"]).to_pylist()
     keys = [unsorted_planes(rows[i]["keys"]) for i in order]
     sizes = np.array([len(k) for k in keys])
-    every, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    every, first, which = different(np.concatenate(keys))
+    del keys
     # Sums of whole numbers in floats would round beyond 2 ** 53.
     total, wanted = np.zeros(len(every), np.uint64), np.zeros(len(every), bool)
     at = np.append(0, np.cumsum(sizes))
@@ -293,7 +309,7 @@ def _partial(model: Model, buckets: int, kind: str):
             b_sums.append(b_sum[used])
             asked_for.append(asked[used])
             # What a document asks for: its number, the context, how often, and the counts that the sums are shares of.
-            pairs, some, times = np.unique(b.doc[back] * size + h[back], return_index=True, return_counts=True)
+            pairs, some, times = np.unique(b.doc[back].astype(np.int64) * size + h[back], return_index=True, return_counts=True)
             where = np.flatnonzero(back)[some]
             below = before[n - 2][b.context[n - 1][where]] if n > 2 else np.full(len(where), model.n)
             asks.append(np.stack([pairs // size, place[pairs % size], times, ch[where], below]))
@@ -329,7 +345,7 @@ def _weights(table: pa.Table) -> pa.Table:
     """One bucket of contexts: both sums of each context that a block asked for."""
     rows = sorted(table.to_pylist(), key=lambda r: r["block"])
     keys = [unsorted_planes(r["keys"]) for r in rows]
-    _, which = np.unique(np.concatenate(keys), return_inverse=True)
+    which = different(np.concatenate(keys))[2]
     total = [np.bincount(which, np.concatenate([unplanes(r[x], np.float64) for r in rows])) for x in "ab"]
     at = np.append(0, np.cumsum([len(k) for k in keys]))
     asked = [which[x:y][unbits(r["asked"], y - x)] for r, x, y in zip(rows, at, at[1:])]
