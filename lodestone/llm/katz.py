@@ -33,7 +33,7 @@ from lodestone.llm.words import _STEP, chunks, column_bytes, mix64, tokenise
 ORDER = 3
 #: Bytes of text in a block and tokens in a bucket: at least, and at most for the memory of a task.
 BLOCK_BYTES, MOST_BLOCK_BYTES = 6 << 20, 24 << 20
-BUCKET_TOKENS, MOST_BUCKET_TOKENS = 4_000_000, 16_000_000
+BUCKET_TOKENS, MOST_BUCKET_TOKENS = 2_000_000, 8_000_000
 #: Up to so many bytes of text the smallest blocks do.
 SMALL_CORPUS = 64 << 30
 GOOD_TURING = 5
@@ -53,13 +53,27 @@ def unplanes(raw: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def narrow(x: np.ndarray) -> bytes:
+    """Whole numbers by byte plane without the planes that are zero; the first byte is the number of planes."""
+    size = (int(x.max(initial=0)).bit_length() + 7) // 8
+    return bytes([size]) + np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(len(x), 8).T[:size]).tobytes()
+
+
+def wide(raw: bytes, n: int) -> np.ndarray:
+    """The n numbers of narrow()."""
+    out = np.zeros((8, n), np.uint8)
+    if raw[0]:
+        out[: raw[0]] = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], n)
+    return np.ascontiguousarray(out.T).view(np.uint64).ravel()
+
+
 def sorted_planes(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences: about 5 bytes each after a codec."""
-    return planes(np.diff(keys, prepend=_U(0)))
+    """Different sorted keys as differences: about 5 bytes each after a codec. The number of keys is in front."""
+    return len(keys).to_bytes(8, "little") + narrow(np.diff(keys, prepend=_U(0)))
 
 
 def unsorted_planes(raw: bytes) -> np.ndarray:
-    return np.cumsum(unplanes(raw, np.uint64), dtype=np.uint64)
+    return np.cumsum(wide(raw[8:], int.from_bytes(raw[:8], "little")), dtype=np.uint64)
 
 
 def bits(flags: np.ndarray) -> bytes:
@@ -196,7 +210,7 @@ def _requests(blocks: DataFrame, n: int, order: int, buckets: int) -> DataFrame:
                 part = lambda pack_, x: pa.array([pack_(x[cut[k] : cut[k + 1]]) for k in full], pa.binary())  # noqa: B023, E731
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array(full, pa.int32()), "block": pa.array([row["block"]] * len(full), pa.int64()),
-                    "keys": part(sorted_planes, keys), "counts": part(planes, counts), "wanted": part(bits, wanted),
+                    "keys": part(sorted_planes, keys), "counts": part(narrow, counts), "wanted": part(bits, wanted),
                 })
 
     return blocks.select("block", "lengths", "train", "words", "tokens").mapInArrow(run, "bucket int, block long, keys binary, counts binary, wanted binary")
@@ -217,7 +231,7 @@ def _count(table: pa.Table) -> pa.Table:
     at = np.append(0, np.cumsum(sizes))
     for i, a, b in zip(order, at, at[1:]):
         mine = which[a:b]  # different keys, so plain indexing adds each once
-        total[mine] += unplanes(rows[i]["counts"], np.uint64)
+        total[mine] += wide(rows[i]["counts"], b - a)
         wanted[mine] |= unbits(rows[i]["wanted"], b - a)
     own = np.zeros(len(which), bool)
     own[first] = True
@@ -227,7 +241,8 @@ def _count(table: pa.Table) -> pa.Table:
     return pa.table({
         "kind": pa.array([0] + [1] * k, pa.int8()), "bucket": pa.array([bucket] * (k + 1), pa.int32()), "block": pa.array([None, *blocks[order].tolist()], pa.int64()),
         "keys": pa.array([sorted_planes(every[seen])] + [None] * k, pa.binary()),
-        "counts": pa.array([planes(total[seen])] + [planes(total[which[a:b]]) for a, b in slices], pa.binary()),
+        "counts": pa.array([narrow(total[seen])] + [narrow(total[which[a:b]]) for a, b in slices], pa.binary()),
+        "n": pa.array([int(seen.sum()), *sizes.tolist()], pa.int64()),
         "own": pa.array([None] + [bits(own[a:b]) for a, b in slices], pa.binary()),
         "wanted": pa.array([None] + [bits(wanted[which[a:b]]) for a, b in slices], pa.binary()),
     })
@@ -239,14 +254,14 @@ def _statistics(table: DataFrame) -> dict[int, int]:
     def run(batches):
         total: dict[int, int] = {}
         for batch in batches:
-            for counts in batch.column(0).to_pylist():
-                c = unplanes(counts, np.uint64)
+            for counts, size in zip(batch.column(0), batch.column(1).to_pylist()):
+                c = wide(counts.as_py(), size)
                 few = np.bincount(np.minimum(c, GOOD_TURING + 2).astype(np.int64), minlength=GOOD_TURING + 3)
                 for r, n in [*((r, int(few[r])) for r in range(1, GOOD_TURING + 2)), (-1, len(c)), (-2, int(c.sum(dtype=np.uint64)))]:
                     total[r] = total.get(r, 0) + n
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], ["r", "n"])
 
-    return {r["r"]: r["n"] for r in table.select("counts").mapInArrow(run, "r int, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()}
+    return {r["r"]: r["n"] for r in table.select("counts", "n").mapInArrow(run, "r int, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()}
 
 
 class Model:
@@ -269,7 +284,7 @@ class Model:
 def _answers(rows: list[dict], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts, owned and wanted of a block's n-grams of order n."""
     mine = sorted((r for r in rows if r["part"] == n), key=lambda r: r["bucket"])
-    counts = [unplanes(r["counts"], np.uint64).astype(np.int64) for r in mine]
+    counts = [wide(r["counts"], r["n"]).astype(np.int64) for r in mine]
     flag = lambda name: np.concatenate([unbits(r[name], len(c)) for r, c in zip(mine, counts)])
     return np.concatenate(counts), flag("own"), flag("wanted")
 
@@ -332,13 +347,14 @@ def _partial(model: Model, buckets: int, kind: str):
         part = lambda pack_, x: [pack_(x[cut[i] : cut[i + 1]]) for i in full]
         return pa.table({
             "kind": pa.array([0] + [1] * k, pa.int8()), "block": pa.array([row["block"]] * (k + 1)), "bucket": pa.array([None, *full], pa.int32()),
+            "asks": pa.array([ask.shape[1]] + [None] * k, pa.int64()),
             "ids": pa.array([row["ids"]] + [None] * k, blocks.schema.field("ids").type), "train": pa.array([row["train"]] + [None] * k, pa.binary()),
             "a": pa.array([np.stack([b.lengths.astype(float), add(c1[b.which[1]] > 0), add(base[b.which[1]]), add(value)]).tobytes(), *part(planes, joined[0])], pa.binary()),
-            "b": pa.array([planes(ask.ravel()), *part(planes, joined[1])], pa.binary()),
+            "b": pa.array([narrow(ask.ravel()), *part(planes, joined[1])], pa.binary()),
             "keys": pa.array([None, *part(sorted_planes, every)], pa.binary()), "asked": pa.array([None, *part(bits, flags)], pa.binary()),
         })
 
-    return run, f"kind byte, block long, bucket int, ids array<{kind}>, train binary, a binary, b binary, keys binary, asked binary"
+    return run, f"kind byte, block long, bucket int, asks long, ids array<{kind}>, train binary, a binary, b binary, keys binary, asked binary"
 
 
 def _weights(table: pa.Table) -> pa.Table:
@@ -360,7 +376,7 @@ def _final(model: Model, kind: str):
         row, said = parts.to_pylist()[0], sorted(replies.to_pylist(), key=lambda r: r["bucket"])
         sums = np.frombuffer(row["a"]).reshape(4, -1)
         a, b = (np.concatenate([np.zeros(0), *(unplanes(r[x], np.float64) for r in said)]) for x in "ab")
-        doc, at, times, here, below = unplanes(row["b"], np.int64).reshape(5, -1)
+        doc, at, times, here, below = wide(row["b"], row["asks"] * 5).astype(np.int64).reshape(5, -1)
         left = lambda x, n: np.maximum(1 - x[at] / np.maximum(n, 1), 1e-300)
         alpha = np.log10(left(a, here) / left(b, below))
         n = sums.shape[1]
@@ -386,11 +402,11 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     replies, stats = None, []
     for n in range(1, order + 1):
         asked = _requests(blocks, n, order, buckets).repartitionById(buckets, F.col("bucket"))
-        counted = asked.groupBy("bucket").applyInArrow(_count, "kind byte, bucket int, block long, keys binary, counts binary, own binary, wanted binary")
+        counted = asked.groupBy("bucket").applyInArrow(_count, "kind byte, bucket int, block long, keys binary, counts binary, n long, own binary, wanted binary")
         counted = saved(counted, f"grams-{n}", by=["kind"])
         release_shuffles(spark)
         stats.append(_statistics(counted.filter("kind = 0")))
-        mine = counted.filter("kind = 1").select("block", F.lit(n).alias("part"), "bucket", "counts", "own", "wanted")
+        mine = counted.filter("kind = 1").select("block", F.lit(n).alias("part"), "bucket", "counts", "n", "own", "wanted")
         replies = mine if replies is None else replies.unionByName(mine)
     model = Model(stats, whole["starts"])
     tasks = max(1, size[1])
@@ -400,7 +416,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     release_shuffles(spark)
     weights = sums.filter("kind = 1").select("block", "bucket", "keys", "a", "b", "asked").repartitionById(buckets, F.col("bucket")).groupBy("bucket").applyInArrow(_weights, "block long, bucket int, a binary, b binary")
     run, ddl = _final(model, kind)
-    parts = sums.filter("kind = 0").select("block", "ids", "train", "a", "b")
+    parts = sums.filter("kind = 0").select("block", "asks", "ids", "train", "a", "b")
     return parts.groupBy("block").cogroup(weights.groupBy("block")).applyInArrow(run, ddl)
 
 
