@@ -43,32 +43,41 @@ _U = np.uint64
 END, START = _U(0x0123456789ABCDEF), _U(0xFEDCBA9876543210)
 
 
+def packed(raw: bytes) -> bytes:
+    """Compressed here, as shuffles only look for repeats and these are numbers of few bits; the size is in front."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
 def planes(x: np.ndarray) -> bytes:
-    """Integers by byte plane, so that codecs see the leading zeros."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+    """Numbers by byte plane, so that codecs see what is alike."""
+    return packed(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes())
 
 
 def unplanes(raw: bytes, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(unpacked(raw), np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def narrow(x: np.ndarray) -> bytes:
     """Whole numbers by byte plane without the planes that are zero; the first byte is the number of planes."""
     size = (int(x.max(initial=0)).bit_length() + 7) // 8
-    return bytes([size]) + np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(len(x), 8).T[:size]).tobytes()
+    return packed(bytes([size]) + np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(len(x), 8).T[:size]).tobytes())
 
 
 def wide(raw: bytes, n: int) -> np.ndarray:
     """The n numbers of narrow()."""
-    out = np.zeros((8, n), np.uint8)
+    raw, out = unpacked(raw), np.zeros((8, n), np.uint8)
     if raw[0]:
         out[: raw[0]] = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], n)
     return np.ascontiguousarray(out.T).view(np.uint64).ravel()
 
 
 def sorted_planes(keys: np.ndarray) -> bytes:
-    """Different sorted keys as differences: about 5 bytes each after a codec. The number of keys is in front."""
+    """Different sorted keys as differences: about 5 bytes each. The number of keys is in front."""
     return len(keys).to_bytes(8, "little") + narrow(np.diff(keys, prepend=_U(0)))
 
 
@@ -77,11 +86,11 @@ def unsorted_planes(raw: bytes) -> np.ndarray:
 
 
 def bits(flags: np.ndarray) -> bytes:
-    return np.packbits(flags).tobytes()
+    return packed(np.packbits(flags).tobytes())
 
 
 def unbits(raw: bytes, n: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(raw, np.uint8))[:n].astype(bool)
+    return np.unpackbits(np.frombuffer(unpacked(raw), np.uint8))[:n].astype(bool)
 
 
 def discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
