@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.scratch import release_shuffles, saved
+from lodestone.llm.scratch import dropped, release_shuffles, saved
 from lodestone.llm.words import _STEP, chunks, column_bytes, mix64, tokenise
 
 ORDER = 3
@@ -36,6 +36,8 @@ BLOCK_BYTES, MOST_BLOCK_BYTES = 6 << 20, 24 << 20
 BUCKET_TOKENS, MOST_BUCKET_TOKENS = 2_000_000, 8_000_000
 #: Up to so many bytes of text the smallest blocks do.
 SMALL_CORPUS = 64 << 30
+#: Parts in which a block's answers and its sums move.
+SLICES = 4
 GOOD_TURING = 5
 #: Taken from counts that Good-Turing leaves alone.
 ABSOLUTE = 0.1
@@ -161,7 +163,7 @@ class _Block:
         return out[:-1]
 
 
-_BLOCK_DDL = "block long, ids array<{kind}>, lengths binary, train binary, words binary, tokens binary, n long"
+_BLOCK_DDL = "block long, ids array<{kind}>, lengths binary, train binary, words binary, ranks binary, tokens binary, n long"
 
 
 def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -183,10 +185,14 @@ def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                     hashes.append(np.insert(t.hash, t.bounds[1:], END))
                     lengths.append(np.diff(t.bounds) + 1)
                 words, _, tokens = different(np.concatenate(hashes))
+                # Numbers by how frequent a word is are small for most tokens, and small after a codec.
+                by_count = np.argsort(-np.bincount(tokens, minlength=len(words)), kind="stable").astype(np.int32)
+                rank = np.empty(len(words), np.int32)
+                rank[by_count] = np.arange(len(words), dtype=np.int32)
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([(part << 32) + number]), "ids": pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(0)[lo:hi]),
                     "lengths": [np.concatenate(lengths).astype(np.int32).tobytes()], "train": [train[lo:hi].tobytes()],
-                    "words": [sorted_planes(words)], "tokens": [planes(tokens)], "n": pa.array([len(tokens)]),
+                    "words": [sorted_planes(words)], "ranks": [narrow(rank)], "tokens": [narrow(rank[tokens])], "n": pa.array([len(tokens)]),
                 })
                 number += 1
 
@@ -194,8 +200,11 @@ def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def _unpack(row: dict, order: int) -> _Block:
+    words = unsorted_planes(row["words"])
+    by_count = np.empty(len(words), np.int32)
+    by_count[wide(row["ranks"], len(words)).astype(np.int64)] = np.arange(len(words), dtype=np.int32)
     return _Block(
-        unsorted_planes(row["words"]), unplanes(row["tokens"], np.int32), np.frombuffer(row["lengths"], np.int32).astype(np.int64), np.frombuffer(row["train"], np.uint8).astype(bool), order
+        words, by_count[wide(row["tokens"], row["n"]).astype(np.int64)], np.frombuffer(row["lengths"], np.int32).astype(np.int64), np.frombuffer(row["train"], np.uint8).astype(bool), order
     )
 
 
@@ -222,7 +231,7 @@ def _requests(blocks: DataFrame, n: int, order: int, buckets: int) -> DataFrame:
                     "keys": part(sorted_planes, keys), "counts": part(narrow, counts), "wanted": part(bits, wanted),
                 })
 
-    return blocks.select("block", "lengths", "train", "words", "tokens").mapInArrow(run, "bucket int, block long, keys binary, counts binary, wanted binary")
+    return blocks.select("block", "lengths", "train", "words", "ranks", "tokens", "n").mapInArrow(run, "bucket int, block long, keys binary, counts binary, wanted binary")
 
 
 def _count(table: pa.Table) -> pa.Table:
@@ -418,12 +427,25 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
         mine = counted.filter("kind = 1").select("block", F.lit(n).alias("part"), "bucket", "counts", "n", "own", "wanted")
         replies = mine if replies is None else replies.unionByName(mine)
     model = Model(stats, whole["starts"])
-    tasks = max(1, size[1])
+    # Both exchanges that are left go in SLICES, so that shuffle files of one slice only are there at a time.
     run, ddl = _partial(model, buckets, kind)
-    dealt = lambda df: df.repartition(tasks, "block").groupBy("block")
-    sums = saved(dealt(blocks).cogroup(dealt(replies)).applyInArrow(run, ddl), "sums", by=["kind"])
-    release_shuffles(spark)
-    weights = sums.filter("kind = 1").select("block", "bucket", "keys", "a", "b", "asked").repartitionById(buckets, F.col("bucket")).groupBy("bucket").applyInArrow(_weights, "block long, bucket int, a binary, b binary")
+    tasks = max(1, -(-size[1] // SLICES))
+    sums = None
+    for k in range(SLICES):
+        dealt = lambda df: df.filter(F.pmod(F.xxhash64("block"), F.lit(SLICES)) == k).repartition(tasks, "block").groupBy("block")  # noqa: B023, E731
+        part = saved(dealt(blocks).cogroup(dealt(replies)).applyInArrow(run, ddl), "sums", by=["kind"])
+        sums = part if sums is None else sums.unionByName(part)
+        release_shuffles(spark)
+    dropped(blocks)
+    weights = None
+    for k in range(SLICES):
+        lo, hi = buckets * k // SLICES, buckets * (k + 1) // SLICES
+        if lo < hi:
+            mine = sums.filter((F.col("kind") == 1) & (F.col("bucket") >= lo) & (F.col("bucket") < hi)).select("block", (F.col("bucket") - lo).alias("bucket"), "keys", "a", "b", "asked")
+            part = mine.repartitionById(hi - lo, F.col("bucket")).groupBy("bucket").applyInArrow(_weights, "block long, bucket int, a binary, b binary")
+            part = saved(part.withColumn("bucket", F.col("bucket") + lo), "weights")
+            weights = part if weights is None else weights.unionByName(part)
+            release_shuffles(spark)
     run, ddl = _final(model, kind)
     parts = sums.filter("kind = 0").select("block", "asks", "ids", "train", "a", "b")
     return parts.groupBy("block").cogroup(weights.groupBy("block")).applyInArrow(run, ddl)

@@ -49,6 +49,13 @@ def saved(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete a table that saved() gave, once nothing reads it any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        fs, p = hadoop_path(df.sparkSession, path)
+        fs.delete(p, True)
+
+
 def lookup(rows: DataFrame, table: DataFrame, key: str, fill: str, most: int = 100_000) -> DataFrame:
     """rows joined with table (one row a key, no nulls, written before), where `fill` says how many rows each key has.
 
