@@ -41,6 +41,7 @@ SLICES = 4
 GOOD_TURING = 5
 #: Taken from counts that Good-Turing leaves alone.
 ABSOLUTE = 0.1
+STEP = 2.0**-24
 _U = np.uint64
 END, START = _U(0x0123456789ABCDEF), _U(0xFEDCBA9876543210)
 
@@ -108,8 +109,8 @@ def discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
 
 
 def discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """d(c) * c."""
-    return np.where(c <= GOOD_TURING, d[np.minimum(c, GOOD_TURING)] * c, c - ABSOLUTE)
+    """d(c) * c in whole steps of STEP, so that sums of them are exact in any order and short when packed."""
+    return np.rint(np.where(c <= GOOD_TURING, d[np.minimum(c, GOOD_TURING)] * c, c - ABSOLUTE) / STEP) * STEP
 
 
 def different(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -318,7 +319,7 @@ def _partial(model: Model, buckets: int, kind: str):
         before = [None, *(np.append(c, model.starts) for c in count[1:])]
         c1 = count[1]
         value, left = np.zeros(len(b.doc)), np.ones(len(b.doc), bool)
-        keys, a_sums, b_sums, asked_for, asks = [], [], [], [], []
+        keys, a_sums, b_sums, wholes, asked_for, asks = [], [], [], [], [], []
         for n in range(model.order, 1, -1):
             c, h = count[n], b.context[n]
             ch, cg = before[n - 1][h], c[b.which[n]]
@@ -330,8 +331,10 @@ def _partial(model: Model, buckets: int, kind: str):
             mine = np.flatnonzero(own[n] & (c > 0))
             at = b.first[n][mine]
             mine, at = (x[np.append(wanted[n - 1], True)[h[at]]] for x in (mine, at))
-            lower = discounted(count[n - 1][b.which[n - 1][at]], model.d[n - 1])
-            a_sum, b_sum = np.bincount(h[at], discounted(c[mine], model.d[n]), size), np.bincount(h[at], lower, size)
+            # Counts and what discounts take from them are added up apart: both are short when packed.
+            whole = count[n - 1][b.which[n - 1][at]]
+            a_sum = np.bincount(h[at], discounted(c[mine], model.d[n]), size)
+            b_sum, whole = np.bincount(h[at], whole - discounted(whole, model.d[n - 1]), size), np.bincount(h[at], whole, size)
             asked = np.zeros(size, bool)
             asked[h[back]] = True
             used = np.flatnonzero(asked | (np.bincount(h[at], minlength=size) > 0))
@@ -340,6 +343,7 @@ def _partial(model: Model, buckets: int, kind: str):
             keys.append(np.append(b.grams[n - 1], b.starts[n - 1])[used])
             a_sums.append(a_sum[used])
             b_sums.append(b_sum[used])
+            wholes.append(whole[used])
             asked_for.append(asked[used])
             # What a document asks for: its number, the context, how often, and the counts that the sums are shares of.
             pairs, some, times = np.unique(b.doc[back].astype(np.int64) * size + h[back], return_index=True, return_counts=True)
@@ -351,7 +355,7 @@ def _partial(model: Model, buckets: int, kind: str):
         order = np.argsort(every, kind="stable")
         rank = np.empty(len(every), np.int64)
         rank[order] = np.arange(len(every))
-        joined = [np.concatenate(x)[order] if x else np.zeros(0) for x in (a_sums, b_sums)]
+        joined = [np.concatenate(x)[order] if x else np.zeros(0) for x in (a_sums, b_sums, wholes)]
         flags = np.concatenate(asked_for)[order] if asked_for else np.zeros(0, bool)
         ask = np.concatenate(asks, axis=1).astype(np.int64) if asks else np.zeros((5, 0), np.int64)
         # Replies come for the keys asked for only, in their order.
@@ -369,10 +373,11 @@ def _partial(model: Model, buckets: int, kind: str):
             "ids": pa.array([row["ids"]] + [None] * k, blocks.schema.field("ids").type), "train": pa.array([row["train"]] + [None] * k, pa.binary()),
             "a": pa.array([np.stack([b.lengths.astype(float), add(c1[b.which[1]] > 0), add(base[b.which[1]]), add(value)]).tobytes(), *part(planes, joined[0])], pa.binary()),
             "b": pa.array([narrow(ask.ravel()), *part(planes, joined[1])], pa.binary()),
+            "c": pa.array([None, *part(narrow, joined[2].astype(np.uint64))], pa.binary()),
             "keys": pa.array([None, *part(sorted_planes, every)], pa.binary()), "asked": pa.array([None, *part(bits, flags)], pa.binary()),
         })
 
-    return run, f"kind byte, block long, bucket int, asks long, ids array<{kind}>, train binary, a binary, b binary, keys binary, asked binary"
+    return run, f"kind byte, block long, bucket int, asks long, ids array<{kind}>, train binary, a binary, b binary, c binary, keys binary, asked binary"
 
 
 def _weights(table: pa.Table) -> pa.Table:
@@ -381,6 +386,7 @@ def _weights(table: pa.Table) -> pa.Table:
     keys = [unsorted_planes(r["keys"]) for r in rows]
     which = different(np.concatenate(keys))[2]
     total = [np.bincount(which, np.concatenate([unplanes(r[x], np.float64) for r in rows])) for x in "ab"]
+    total[1] = np.bincount(which, np.concatenate([wide(r["c"], len(k)) for r, k in zip(rows, keys)])) - total[1]
     at = np.append(0, np.cumsum([len(k) for k in keys]))
     asked = [which[x:y][unbits(r["asked"], y - x)] for r, x, y in zip(rows, at, at[1:])]
     return pa.table({
@@ -441,7 +447,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     for k in range(SLICES):
         lo, hi = buckets * k // SLICES, buckets * (k + 1) // SLICES
         if lo < hi:
-            mine = sums.filter((F.col("kind") == 1) & (F.col("bucket") >= lo) & (F.col("bucket") < hi)).select("block", (F.col("bucket") - lo).alias("bucket"), "keys", "a", "b", "asked")
+            mine = sums.filter((F.col("kind") == 1) & (F.col("bucket") >= lo) & (F.col("bucket") < hi)).select("block", (F.col("bucket") - lo).alias("bucket"), "keys", "a", "b", "c", "asked")
             part = mine.repartitionById(hi - lo, F.col("bucket")).groupBy("bucket").applyInArrow(_weights, "block long, bucket int, a binary, b binary")
             part = saved(part.withColumn("bucket", F.col("bucket") + lo), "weights")
             weights = part if weights is None else weights.unionByName(part)

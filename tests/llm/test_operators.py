@@ -178,7 +178,7 @@ def katz_brute(texts, train, order, good=5):
                 count[n].update(tuple(padded[i : i + n]) for i in range(len(w)))
     total = sum(count[1].values())
     d = [None] + [katz.discounts(collections.Counter(c.values())) for c in count[1:]]
-    cut = lambda c, n: d[n][c] * c if c <= good else c - 0.1
+    cut = lambda c, n: round((d[n][c] * c if c <= good else c - 0.1) / katz.STEP) * katz.STEP
     unknown = 1 - sum(cut(c, 1) for c in count[1].values()) / total if total else 1.0
     after = collections.defaultdict(list)
     for n in range(2, order + 1):
