@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import string
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,8 +12,18 @@ from pyspark.sql import functions as F
 QUOTES = (" ‘’“”", " ''\"\"")
 BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]+"
 SEPARATOR = "␟"
-#: Letters of the corpus with a diacritic, and their base letters.
-FOLD = ("äçèéêíñóöü", "aceeeinoou")
+
+
+def _folds(last: int = 0x24F) -> tuple[str, str]:
+    """Small Latin letters with one mark over or under a letter of ASCII, and that letter."""
+    parts = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in range(0xC0, last + 1) if chr(c).islower()}
+    plain = {c: d[0] for c, d in parts.items() if len(d) == 2 and d[0] in string.ascii_lowercase}
+    return "".join(plain), "".join(plain.values())
+
+
+FOLD = _folds()
+#: Letters that lower case makes two of, or leaves apart from their small form.
+ODD = ("İſ", "is")
 REFUSALS = ("not answerable", "cannot be answered", "insufficient evidence", "无法回答", "无法确定")
 ANSWER_MISSING = "not answerable"
 
@@ -50,7 +63,7 @@ def match_expression(c: Column) -> Column:
 
 def index_terms(c: Column) -> Column:
     """Terms as the inverted index has them: letters and digits, folded."""
-    return F.regexp_extract_all(F.translate(F.lower(F.coalesce(c, F.lit(""))), *FOLD), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    return F.regexp_extract_all(F.translate(F.lower(F.translate(F.coalesce(c, F.lit("")), *ODD)), *FOLD), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
 def answer_tokens(c: Column) -> Column:
@@ -64,13 +77,18 @@ def exact_match(prediction: Column, reference: Column) -> Column:
 
 
 def token_f1(prediction: Column, reference: Column) -> Column:
-    """2 * overlap / (both lengths), with the overlap of multisets; two empty answers are equal."""
-    p, r = answer_tokens(prediction), answer_tokens(reference)
-    count = lambda a, t: F.size(F.filter(a, lambda x: x == t))
-    overlap = F.aggregate(F.array_distinct(p), F.lit(0), lambda s, t: s + F.least(count(p, t), count(r, t)))
-    total = F.size(p) + F.size(r)
-    empty = (F.size(p) == 0) | (F.size(r) == 0)
-    return F.when(empty, (p == r).cast("double")).otherwise(overlap * F.lit(2.0) / total)
+    """2 * overlap / (both lengths), with the overlap of multisets; two empty answers are equal. Both token lists are
+    made once a row, and only tokens of both are counted."""
+
+    def score(s: Column) -> Column:
+        p, r = s["p"], s["r"]
+        count = lambda a, t: F.size(a) - F.size(F.array_remove(a, t))
+        overlap = F.aggregate(F.array_intersect(p, r), F.lit(0), lambda n, t: n + F.least(count(p, t), count(r, t)))
+        empty = (F.size(p) == 0) | (F.size(r) == 0)
+        return F.when(empty, (p == r).cast("double")).otherwise(overlap * F.lit(2.0) / (F.size(p) + F.size(r)))
+
+    both = F.struct(answer_tokens(prediction).alias("p"), answer_tokens(reference).alias("r"))
+    return F.get(F.transform(F.array(both), score), F.lit(0))
 
 
 def best_of(score, prediction: Column, references: Column) -> Column:

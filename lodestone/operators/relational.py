@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
 
+#: Characters of items' keys in one automaton, some fifty bytes of memory each.
+BLOCK_CHARS = 4_000_000
+
 
 def keep_first(df: DataFrame, key: Column, *order: str) -> DataFrame:
     """The first row of each key. Written as an aggregate, which combines before the shuffle, not as a window."""
@@ -35,19 +39,35 @@ def leaked(rows: DataFrame, held: DataFrame, columns: list[str]) -> DataFrame:
     return rows.withColumns(dict(zip(names, keys))).join(other, names, "left_semi").drop(*names)
 
 
-def containment(docs: DataFrame, items: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, item_id) where the document's key holds the item's. An item's first `width` normalised words are looked
-    up among the runs of that many words of every document, an equi-join, before texts are compared."""
-
-    def keyed(df: DataFrame) -> DataFrame:
-        words = F.split(X.normalize_text(F.lower(F.col("text"))), " ")
-        return df.withColumn("keys", F.filter(F.transform(words, lambda w: F.regexp_replace(w, "[^a-z0-9]+", "")), lambda w: w != ""))
-
-    run = lambda at: F.xxhash64(F.array_join(F.slice("keys", at, F.lit(width)), ""))
-    last = F.greatest(F.size("keys") - width, F.lit(0)) + 1
-    d = keyed(docs).select("doc_id", "text", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), last), run))).alias("h"))
-    i = keyed(items).select("item_id", F.array_join("keys", "").alias("item_key"), run(F.lit(1)).alias("h"))
-    return d.join(F.broadcast(i) if items.count() <= 10_000 else i, "h").filter(F.contains(X.normalized_key(F.col("text")), F.col("item_key"))).select("doc_id", "item_id").distinct()
+def containment(docs: DataFrame, items: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(doc_id, item_id) where the document's key holds the item's; an item whose key is empty matches nothing.
+
+    Keys of items go to the tasks as an automaton, block_chars of them at a time, and each key of a document is read once
+    for all items of a block, whatever words they share. What comes out is joined with the items by the hash of their
+    key, so that texts aren't moved."""
+    keyed = items.select("item_id", X.normalized_key(F.col("text")).alias("item_key")).filter("item_key <> ''").withColumn("h", F.xxhash64("item_key"))
+    keys = keyed.select("h", "item_key").distinct()
+    parts = max(1, -(-(keys.agg(F.sum(F.length("item_key"))).first()[0] or 0) // block_chars))
+    rows, out = docs.select("doc_id", X.normalized_key(F.col("text")).alias("key")), None
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    for k in range(parts):
+        sent = docs.sparkSession.sparkContext.broadcast([(r["item_key"], r["h"]) for r in keys.filter(F.pmod("h", F.lit(parts)) == k).collect()])
+
+        def run(batches, sent=sent):
+            import ahocorasick
+
+            found = ahocorasick.Automaton()
+            for key, h in sent.value:
+                found.add_word(key, h)
+            if sent.value:
+                found.make_automaton()
+            for batch in batches if sent.value else ():
+                hits = [(i, h) for i, key in enumerate(batch.column(1)) for h in {h for _, h in found.iter(key.as_py())}]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i for i, _ in hits], pa.int64())), pa.array([h for _, h in hits], pa.int64())], ["doc_id", "h"])
+
+        part = rows.mapInArrow(run, f"doc_id {kind}, h long")
+        out = part if out is None else out.unionByName(part)
+    return out.join(keyed.select("h", "item_id"), "h").select("doc_id", "item_id").distinct()
 
 
 def split_membership(rows: DataFrame, key: str, split: str) -> DataFrame:

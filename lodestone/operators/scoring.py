@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
-from lodestone.functions.udfs import validate_plan
+from lodestone.functions.udfs import nfkc, nfkc_each, validate_plan
 from lodestone.operators import metrics
 from lodestone.operators.relational import checked_pairs
 from lodestone.plans import chain
@@ -94,6 +94,7 @@ def score(gold: DataFrame, predictions: DataFrame, check: bool = True) -> DataFr
     """(id, source_dataset, hop_count, answerable, metrics map, per_step). Repeated or missing predictions raise if check."""
     pairs = checked_pairs(gold, predictions) if check else gold.join(predictions, "id")
     pairs = pairs.withColumn("valid", F.col("plan").isNotNull() & (F.size(validate_plan("plan")) == 0))
+    pairs = pairs.withColumns({"answer": nfkc("answer"), "references": nfkc_each("references")})
     none = F.array().cast("array<struct<id:string,query:string,depends_on:array<string>>>")
     several = (F.col("source_dataset") == "musique") | F.col("hop_count").isNotNull()
     pairs = pairs.withColumns({"several": F.coalesce(several, F.lit(False)), "queries": F.when(F.col("valid"), F.coalesce(chain.parsed(F.col("plan"))["queries"], none)).otherwise(none)})

@@ -53,10 +53,11 @@ def dpo_errors() -> Column:
 
 def grpo_errors() -> Column:
     n = F.size("gold_doc_ids")
-    return broken(
+    plan = F.transform(validate_plan("output"), lambda e: F.concat(F.lit("plan: "), e))
+    return F.concat(plan, broken(plan_steps=F.col("hop_count") == hops(F.col("output")), task=F.col("task_type") == F.when(F.col("hop_count") > 1, "multi_hop").otherwise("single_hop"), namespace=F.col("namespace") == F.when(F.col("source_dataset") == MUSIQUE, "musique_aux").otherwise("policy"),
         **filled("id", "input", "reference_answer"), hop_count=F.col("hop_count").between(1, 4), hop_answers=(F.col("hop_count") == 1) | (F.size("hop_answers") == F.col("hop_count")),
-        gold_documents=n > 0, distinct_documents=F.size(F.array_distinct("gold_doc_ids")) == n, no_reward=F.lit(True),
-    )
+        gold_documents=n > 0, distinct_documents=F.size(F.array_distinct("gold_doc_ids")) == n,
+    ))
 
 
 def eval_errors() -> Column:

@@ -12,6 +12,7 @@ from lodestone.functions import text as X
 from lodestone.functions import udfs as U
 from lodestone.operators import chunking, datasets, metrics, relational, retrieval, sampling, scoring
 from lodestone.plans import chain
+from lodestone.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # SQL of the text scalars.
 NORM = r"""trim(regexp_replace(translate(coalesce({c}, ''), ' ‘’“”', ' ''''""'), '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g'))"""
 KEY = "regexp_replace(lower(" + NORM + "), '[^a-z0-9]+', '', 'g')"
-TERMS = r"regexp_extract_all(translate(lower(coalesce({c}, '')), 'äçèéêíñóöü', 'aceeeinoou'), '[\p{{L}}\p{{N}}]+')"
+TERMS = r"regexp_extract_all(translate(lower(translate(coalesce({c}, ''), 'İſ', 'is')), '" + X.FOLD[0] + "', '" + X.FOLD[1] + r"'), '[\p{{L}}\p{{N}}]+')"
 ANSWER = r"list_filter(string_split(trim(regexp_replace(regexp_replace(lower(coalesce({c}, '')), '[!-/:-@\[-`{{-~]', ' ', 'g'), '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), ' '), lambda t: t NOT IN ('', 'a', 'an', 'the'))"
 n_, k_, t_, a_ = (lambda c, s=s: s.format(c=c) for s in (NORM, KEY, TERMS, ANSWER))
 
@@ -80,7 +81,7 @@ def benchmark_leakage_exact(spark, sf_dir):
     return relational.leaked(table(spark, sf_dir, "documents").select("text"), table(spark, sf_dir, "benchmark").select("text"), ["text"]).agg(F.count("*").alias("leaked"))
 
 
-@query(f"SELECT doc_id, item_id FROM (SELECT doc_id, {k_('text')} AS d FROM documents) JOIN (SELECT item_id, {k_('text')} AS i FROM benchmark) ON contains(d, i)")
+@query(f"SELECT doc_id, item_id FROM (SELECT doc_id, {k_('text')} AS d FROM documents) JOIN (SELECT item_id, {k_('text')} AS i FROM benchmark) ON contains(d, i) AND i <> ''")
 def benchmark_containment(spark, sf_dir):
     return relational.containment(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -233,9 +234,9 @@ def dense_topk(spark, sf_dir):
 
 @query("""SELECT query_id, doc_pos, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_pos) AS rank FROM (
   SELECT q.vec_id AS query_id, v.vec_id AS doc_pos, round(list_inner_product(list_transform(v.embedding, lambda x: x::DOUBLE), list_transform(q.embedding, lambda x: x::DOUBLE)), 6) AS score
-  FROM embeddings v CROSS JOIN (SELECT * FROM embeddings WHERE vec_id < 8) q)) WHERE rank <= 10""")
+  FROM embeddings v CROSS JOIN (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q)) WHERE rank <= 10""")
 def dense_topk_multi(spark, sf_dir):
-    q = table(spark, sf_dir, "embeddings").filter("vec_id < 8").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    q = table(spark, sf_dir, "embeddings").filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     return retrieval.dense_search_many(_vectors(spark, sf_dir), q, 10)
 
 
@@ -282,8 +283,8 @@ def tfidf_keywords(spark, sf_dir):
 # Metrics.
 
 _GOLD = """h AS (SELECT query_id, list(doc_pos ORDER BY rank) AS retrieved FROM (SELECT query_id, doc_pos, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_pos) AS rank FROM (
-  SELECT q.vec_id AS query_id, v.vec_id AS doc_pos, round(list_inner_product(list_transform(v.embedding, lambda x: x::DOUBLE), list_transform(q.embedding, lambda x: x::DOUBLE)), 6) AS score FROM embeddings v CROSS JOIN (SELECT * FROM embeddings WHERE vec_id < 8) q)) WHERE rank <= 10 GROUP BY 1),
-  g AS (SELECT q.vec_id AS query_id, q.label, list(v.vec_id ORDER BY v.vec_id) AS gold FROM embeddings q JOIN embeddings v ON v.label = q.label WHERE q.vec_id < 8 AND v.vec_id < 100 GROUP BY 1, 2)"""
+  SELECT q.vec_id AS query_id, v.vec_id AS doc_pos, round(list_inner_product(list_transform(v.embedding, lambda x: x::DOUBLE), list_transform(q.embedding, lambda x: x::DOUBLE)), 6) AS score FROM embeddings v CROSS JOIN (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q)) WHERE rank <= 10 GROUP BY 1),
+  g AS (SELECT q.vec_id AS query_id, q.label, list(v.vec_id ORDER BY v.vec_id) AS gold FROM embeddings q JOIN embeddings v ON v.label = q.label WHERE q.vec_id % 20 = 0 GROUP BY 1, 2)"""
 _M = "SELECT query_id, label, {} , coalesce(1.0::DOUBLE / list_min(list_filter(list_transform(gold, lambda x: list_position(retrieved, x)), lambda p: p > 0)), 0) AS mrr FROM h JOIN g USING (query_id)".format(
     ", ".join(f"len(list_intersect(retrieved[1:{k}], gold))::DOUBLE / len(gold) AS recall_{k}, (len(list_intersect(retrieved[1:{k}], gold)) > 0)::INT::DOUBLE AS hit_{k}, (len(list_intersect(retrieved[1:{k}], gold)) = len(gold))::INT::DOUBLE AS joint_recall_{k}" for k in (1, 5, 10))
 )
@@ -292,7 +293,7 @@ _M = "SELECT query_id, label, {} , coalesce(1.0::DOUBLE / list_min(list_filter(l
 def _measured(spark, sf_dir):
     hits = dense_topk_multi(spark, sf_dir).groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc_pos"))), lambda s: s["doc_pos"]).alias("retrieved"))
     e = table(spark, sf_dir, "embeddings")
-    gold = e.filter("vec_id < 8").select(F.col("vec_id").alias("query_id"), "label").join(e.filter("vec_id < 100").select("label", F.col("vec_id").alias("g")), "label").groupBy("query_id", "label").agg(F.sort_array(F.collect_list("g")).alias("gold"))
+    gold = e.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "label").join(e.select("label", F.col("vec_id").alias("g")), "label").groupBy("query_id", "label").agg(F.sort_array(F.collect_list("g")).alias("gold"))
     return hits.join(gold, "query_id").select("query_id", "label", *[c.alias(n) for n, c in metrics.retrieval_metrics(F.col("retrieved"), F.col("gold")).items()])
 
 
@@ -320,7 +321,7 @@ def _pairs(spark, sf_dir):
   SELECT conv_id, turn, sum(least(a.n, b.n)) AS o FROM (SELECT conv_id, turn, t, count(*) AS n FROM (SELECT conv_id, turn, unnest(p) AS t FROM x) GROUP BY ALL) a JOIN (SELECT conv_id, turn, t, count(*) AS n FROM (SELECT conv_id, turn, unnest(r) AS t FROM x) GROUP BY ALL) b USING (conv_id, turn, t) GROUP BY 1, 2)
   SELECT conv_id, turn, CASE WHEN len(p) = 0 OR len(r) = 0 THEN (p = r)::INT::DOUBLE ELSE round(coalesce(o, 0) * 2.0::DOUBLE / (len(p) + len(r)), 9) END AS f1, (p = r)::INT::DOUBLE AS em FROM x LEFT JOIN o USING (conv_id, turn)""")
 def token_f1_pairs(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("conv_id", "turn", F.round(X.token_f1(F.col("p"), F.col("r")), 9).alias("f1"), X.exact_match(F.col("p"), F.col("r")).alias("em"))
+    return _pairs(spark, sf_dir).withColumns({"p": U.nfkc("p"), "r": U.nfkc("r")}).select("conv_id", "turn", F.round(X.token_f1(F.col("p"), F.col("r")), 9).alias("f1"), X.exact_match(F.col("p"), F.col("r")).alias("em"))
 
 
 # Samples.
@@ -370,9 +371,9 @@ def html_visible_text(spark, sf_dir):
 
 @query()
 def evidence_mapping(spark, sf_dir):
-    """The first sentence of every page's text against the page's chunks."""
+    """The last piece of every page's last chunk against the page's chunks, which are made once."""
     pages = table(spark, sf_dir, "pages")
-    chunks = chunking.chunk_pages(pages)
+    chunks = files.written(chunking.chunk_pages(pages))
     evidence = chunks.groupBy("page_id", "url").agg(F.max_by("text", "chunk_no").alias("t")).select(F.col("page_id").alias("evidence_id"), "url", F.element_at(F.split("t", r"\.\s"), -1).alias("evidence"))
     return chunking.map_evidence(evidence, chunks)
 
@@ -380,20 +381,32 @@ def evidence_mapping(spark, sf_dir):
 # Plans.
 
 
+#: Steps of a plan, at most.
+_STEPS = chain.MOST_STEPS
+
+
+def _questions(spark, sf_dir):
+    """Each conversation in successive parts of up to four turns, whole texts: conv_id, part, turns."""
+    c = table(spark, sf_dir, "conversations").withColumn("part", F.floor(F.col("turn") / _STEPS))
+    return c.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("turns"))
+
+
+def _asked(turns):
+    return F.transform(turns, lambda s, i: F.concat(s["text"], F.when(i > 0, F.concat(F.lit(" #"), i.cast("string"))).otherwise("")))
+
+
 def _plans(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").filter("turn < 3")
-    turns = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s, i: F.concat(F.array_join(F.slice(F.split(s["text"], " "), 1, 5), " "), F.when(i > 0, F.concat(F.lit(" #"), i.cast("string"))).otherwise(""))).alias("q"))
-    return turns.select("conv_id", U.decomposition_plan("q").alias("plan"))
+    return _questions(spark, sf_dir).select("conv_id", "part", U.decomposition_plan(_asked("turns")).alias("plan"))
 
 
 @query()
 def plan_validate(spark, sf_dir):
-    return _plans(spark, sf_dir).select("conv_id", F.array_join(U.validate_plan("plan"), ",").alias("errors"))
+    return _plans(spark, sf_dir).select("conv_id", "part", F.array_join(U.validate_plan("plan"), ",").alias("errors"))
 
 
 @query()
 def plan_edges(spark, sf_dir):
-    return _plans(spark, sf_dir).select("conv_id", F.array_join(chain.edges(F.col("plan")), ",").alias("edges"))
+    return _plans(spark, sf_dir).select("conv_id", "part", F.array_join(chain.edges(F.col("plan")), ",").alias("edges"))
 
 
 @query()
@@ -406,14 +419,14 @@ def rejected_plans(spark, sf_dir):
 @query()
 def plan_dependency_f1(spark, sf_dir):
     p = rejected_plans(spark, sf_dir).filter("rejected IS NOT NULL")
-    return p.select("conv_id", *[c.alias(n) for n, c in metrics.set_scores(chain.edges(F.col("rejected")), chain.edges(F.col("plan"))).items()])
+    return p.select("conv_id", "part", *[c.alias(n) for n, c in metrics.set_scores(chain.edges(F.col("rejected")), chain.edges(F.col("plan"))).items()])
 
 
 @query()
 def chain_execute(spark, sf_dir):
     """Plans over conversations; retrieval is the first documents of the same language-independent hash, and the answer the
     query's first word: stand-ins for models, whose quality means nothing."""
-    records = _plans(spark, sf_dir).withColumnRenamed("conv_id", "record_id")
+    records = _plans(spark, sf_dir).select(F.concat_ws("_", F.col("conv_id").cast("string"), F.col("part").cast("string")).alias("record_id"), "plan")
 
     def retrieve(ask):
         return ask.select("record_id", F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.pmod(F.xxhash64("query") + i, F.lit(100)).cast("string")).alias("evidence"))
@@ -421,7 +434,7 @@ def chain_execute(spark, sf_dir):
     def answer(ask):
         return ask.select("record_id", F.concat(F.element_at(F.split("query", " "), 1), F.lit(" [1]")).alias("answer"))
 
-    out = chain.execute(records, retrieve, answer, U.validate_plan)
+    out = chain.execute(records, retrieve, answer, U.validate_plan, files.written)
     return out.withColumn("evidence", F.array_join("evidence", ","))
 
 
@@ -489,24 +502,23 @@ def _rewrites(spark, sf_dir):
 
 
 def _policies(spark, sf_dir):
-    """Documents by source and language: the title, the first words as scenario and question, sentences as evidence."""
+    """Documents by source and language: the title; of the words the first half as scenario and the rest as question, and
+    three equal parts as evidence, so that all of a text is used."""
     words = F.split(X.normalize_text(F.col("text")), " ")
-    part = lambda lo, n: F.array_join(F.slice(words, lo, n), " ")
-    answers = F.array(F.struct(part(1, 3).alias("answer"), F.lit("").alias("conditions")))
-    return table(spark, sf_dir, "documents").filter("length(text) > 200").select(
-        F.col("doc_id").cast("string").alias("id"), F.concat_ws(" ", "source", "lang").alias("title"), part(1, 30).alias("scenario"), part(5, 8).alias("question"), (F.col("doc_id") % 9 == 0).alias("not_answerable"),
-        F.array(part(1, 10), part(11, 10), part(21, 10)).alias("evidences"), answers.alias("answers"), F.array(F.col("doc_id").cast("string"), (F.col("doc_id") + 1).cast("string")).alias("gold_doc_ids"),
+    n = F.size(words)
+    part = lambda k, of: F.array_join(F.slice(words, F.floor(n * k / of).cast("int") + 1, F.greatest(F.lit(1), (F.floor(n * (k + 1) / of) - F.floor(n * k / of)).cast("int"))), " ")
+    answers = F.array(F.struct(F.array_join(F.slice(words, 1, 3), " ").alias("answer"), F.lit("").alias("conditions")))
+    return table(spark, sf_dir, "documents").filter(F.trim(X.normalize_text(F.col("text"))) != "").select(
+        F.col("doc_id").cast("string").alias("id"), F.concat_ws(" ", "source", "lang").alias("title"), part(0, 2).alias("scenario"), part(1, 2).alias("question"), (F.col("doc_id") % 9 == 0).alias("not_answerable"),
+        F.array(part(0, 3), part(1, 3), part(2, 3)).alias("evidences"), answers.alias("answers"), F.array(F.col("doc_id").cast("string"), (F.col("doc_id") + 1).cast("string")).alias("gold_doc_ids"),
     )
 
 
 def _multihop(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").filter("turn < 3")
-    turns = F.array_sort(F.collect_list(F.struct("turn", "text")))
-    ask = lambda s, i: F.concat(F.array_join(F.slice(F.split(s["text"], " "), 1, 5), " "), F.when(i > 0, F.concat(F.lit(" #"), i.cast("string"))).otherwise(""))
-    said = F.transform(turns, lambda s: F.element_at(F.split(s["text"], " "), -1))
-    rows = c.groupBy("conv_id").agg(F.transform(turns, ask).alias("questions"), said.alias("answers")).filter(F.size("questions") >= 2)
-    docs = F.transform("answers", lambda a, i: (F.col("conv_id") * 10 + i).cast("string"))
-    return rows.select(F.col("conv_id").cast("string").alias("id"), F.element_at("questions", 1).alias("question"), "questions", "answers", F.element_at("answers", -1).alias("answer"), F.array(F.element_at("answers", 1)).alias("answer_aliases"), docs.alias("gold_doc_ids"), F.size("questions").alias("hop_count"))
+    said = F.transform("turns", lambda s: F.element_at(F.split(s["text"], " "), -1))
+    rows = _questions(spark, sf_dir).filter(F.size("turns") >= 2).select((F.col("conv_id") * 100 + F.col("part")).alias("n"), _asked("turns").alias("questions"), said.alias("answers"))
+    docs = F.transform("answers", lambda a, i: (F.col("n") * 10 + i).cast("string"))
+    return rows.select(F.col("n").cast("string").alias("id"), F.element_at("questions", 1).alias("question"), "questions", "answers", F.element_at("answers", -1).alias("answer"), F.array(F.element_at("answers", 1)).alias("answer_aliases"), docs.alias("gold_doc_ids"), F.size("questions").alias("hop_count"))
 
 
 @query()

@@ -77,9 +77,71 @@ def test_chunker_and_evidence(spark):
     docs = spark.createDataFrame([("u", "Paternity Leave", contents)], ["url", "title", "contents"])
     chunks = chunking.chunk(docs)
     assert [r.text for r in chunks.collect()] == ["Eligibility You must work for your employer for at least 26 weeks."]
-    evidence = spark.createDataFrame([(1, "u", contents[1][3:-4]), (2, "u", "zzz qqq")], ["evidence_id", "url", "evidence"])
+    evidence = spark.createDataFrame([(1, "u", contents[1]), (2, "u", "zzz qqq"), (3, "u", " <p> </p>"), (4, "u", None)], "evidence_id int, url string, evidence string")
     got = {r.evidence_id: r.score for r in chunking.map_evidence(evidence, chunks).collect()}
-    assert got == {1: 2.0, 2: None}
+    assert got == {1: 2.0, 2: None, 3: None, 4: None}
+    row = chunks.first()
+    assert len(row.content_hash) == 64 and len(row.id) == len("policy_") + 16
+
+
+def test_page_blocks_keep_all_text():
+    page = "<html><head><title>x</title></head><body>before<h1>A &amp; B</h1>tail<div>in <b>div</b><p>one</p>after</div><ul><li>item<li>next</ul><table><tr><td>cell</td></tr></table><blockquote>said</blockquote>end</body></html>"
+    assert chunking.page_blocks(page) == [
+        "<p>before</p>", "<h1>A &amp; B</h1>", "<p>tail</p>", "<p>in div</p>", "<p>one</p>", "<p>after</p>", "<li>item</li>", "<li>next</li>", "<p>cell</p>", "<p>said</p>", "<p>end</p>",
+    ]
+    assert chunking.page_blocks(None) == []
+
+
+def test_containment_of_short_and_hyphenated_items(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight"), (2, "gary-cherone sang one song for all of us"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(10, "three four five"), (11, "gary cherone sang one song for all"), (12, "Three-four FIVE"), (13, "?"), (14, None)], "item_id long, text string")
+    for block in (1_000_000, 5):
+        assert {tuple(r) for r in relational.containment(docs, items, block).collect()} == {(1, 10), (1, 12), (2, 11)}
+
+
+def test_compatible_forms_and_folding(spark):
+    gold = spark.createDataFrame([("ﬁne",)], ["t"]).select(U.nfkc("t").alias("t"))
+    assert gold.select(X.exact_match(F.col("t"), F.lit("fine"))).first()[0] == 1
+    letters = "".join(chr(c) for c in range(0xC0, 0x180) if chr(c).isalpha())
+    db = sqlite3.connect(":memory:")
+    db.execute("CREATE VIRTUAL TABLE d USING fts5(t, tokenize='unicode61')")
+    db.execute("CREATE VIRTUAL TABLE v USING fts5vocab(d, 'row')")
+    db.executemany("INSERT INTO d(t) VALUES (?)", [(f"x{c}x",) for c in letters])
+    want = {r[0] for r in db.execute("SELECT term FROM v")}
+    got = {t for r in spark.createDataFrame([(f"x{c}x",) for c in letters], ["t"]).select(X.index_terms(F.col("t")).alias("w")).collect() for t in r.w}
+    assert got == want
+    assert value(spark, X.index_terms(F.lit("Málaga està à Côte"))) == ["malaga", "esta", "a", "cote"]
+
+
+@pytest.mark.parametrize(
+    ("content", "plan"),
+    [
+        ('{"queries": ["ask this"]}', [("q1", "ask this", [])]), ('{"q1": "ask", "depends_on": ["q0"]}', [("q1", "ask", ["q0"])]), ('```json\n{"query": "ask"}\n```', [("q1", "ask", [])]),
+        ('{"queries": [{"id": "q1", "query": "a", "depends_on": []}, {"id": "q2", "query": "b", "depends_on": ["q1"]}]}', [("q1", "a", []), ("q2", "b", ["q1"])]),
+        ('{"queries": {"q1": "ask"}}', [("q1", "ask", [])]), ('{"queries": [{"q1": "ask"}]}', [("q1", "ask", [])]), ('{"query": "ask", "more": 1}', None), ("[1]", None), ("no", None), ('{"query": 3}', None),
+    ],
+)
+def test_loose_plans(content, plan):
+    found = U.loose_plan(content)
+    assert found == (plan and {"queries": [dict(zip(("id", "query", "depends_on"), s)) for s in plan]})
+
+
+def test_placeholders_are_written_without_blanks():
+    plan = {"queries": [{"id": "q1", "query": "first query", "depends_on": []}, {"id": "q2", "query": "of {{ q1.answer }} and {{q1.answer}}", "depends_on": ["q1"]}]}
+    assert U.plan_errors(json.dumps(plan)) == ["placeholders"]
+    plan["queries"][1]["query"] = "of {{q1.answer}}"
+    assert U.plan_errors(json.dumps(plan)) == []
+
+
+def test_entities_are_measured_without_signs():
+    assert U.without_entity("when did A.B. meet Paris again") == "when did A.B. meet again" and U.without_entity("one two Three") == "one two Three"
+    assert U.without_entity("what is the longestword here") == "what is the here"
+
+
+def test_request_hash_knows_nulls(spark):
+    rows = spark.createDataFrame([("a", None, "x"), ("a", "x", None)], "id string, p string, q string")
+    hashes = [r.request_hash for r in datasets.hashed(rows).collect()]
+    assert hashes[0] != hashes[1]
 
 
 def test_chunk_rules():
