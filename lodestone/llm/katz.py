@@ -443,6 +443,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
         sums = part if sums is None else sums.unionByName(part)
         release_shuffles(spark)
     dropped(blocks)
+    dropped(replies, "kind=1")
     weights = None
     for k in range(SLICES):
         lo, hi = buckets * k // SLICES, buckets * (k + 1) // SLICES
@@ -452,6 +453,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
             part = saved(part.withColumn("bucket", F.col("bucket") + lo), "weights")
             weights = part if weights is None else weights.unionByName(part)
             release_shuffles(spark)
+    dropped(sums, "kind=1")
     run, ddl = _final(model, kind)
     parts = sums.filter("kind = 0").select("block", "asks", "ids", "train", "a", "b")
     return parts.groupBy("block").cogroup(weights.groupBy("block")).applyInArrow(run, ddl)

@@ -49,9 +49,11 @@ def saved(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dropped(df: DataFrame) -> None:
-    """Delete a table that saved() gave, once nothing reads it any more."""
+def dropped(df: DataFrame, part: str = "") -> None:
+    """Delete a table that saved() gave, or a part of it such as "kind=1", once nothing reads it any more."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if not path.endswith(part):
+            continue
         fs, p = hadoop_path(df.sparkSession, path)
         fs.delete(p, True)
 
