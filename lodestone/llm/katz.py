@@ -36,8 +36,8 @@ BLOCK_BYTES, MOST_BLOCK_BYTES = 6 << 20, 24 << 20
 BUCKET_TOKENS, MOST_BUCKET_TOKENS = 2_000_000, 8_000_000
 #: Up to so many bytes of text the smallest blocks do.
 SMALL_CORPUS = 64 << 30
-#: Parts in which a block's answers and its sums move.
-SLICES = 4
+#: Parts in which a block's answers and its sums move, and in which n-grams beyond pairs are counted.
+SLICES, COUNT_SLICES = 4, 2
 GOOD_TURING = 5
 #: Taken from counts that Good-Turing leaves alone.
 ABSOLUTE = 0.1
@@ -215,8 +215,15 @@ def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def _requests(blocks: DataFrame, n: int, order: int, buckets: int) -> DataFrame:
-    """(bucket, block, keys, counts, wanted): a block's different n-grams of order n in the bucket."""
+def _ranges(buckets: int, slices: int) -> list[tuple[int, int]]:
+    """The buckets in at most so many ranges, none of them empty."""
+    edges = [buckets * k // slices for k in range(slices + 1)]
+    return [(lo, hi) for lo, hi in zip(edges, edges[1:]) if lo < hi]
+
+
+def _requests(blocks: DataFrame, n: int, order: int, buckets: int, lo: int, hi: int) -> DataFrame:
+    """(bucket, block, keys, counts, wanted): a block's different n-grams of order n in each bucket from lo, which is
+    given as 0, to before hi."""
 
     def run(batches):
         for batch in batches:
@@ -224,11 +231,11 @@ def _requests(blocks: DataFrame, n: int, order: int, buckets: int) -> DataFrame:
                 b = _unpack(row, min(n + 1, order))
                 keys, counts, wanted = b.grams[n], b.counts(n).astype(np.uint64), b.wanted(n)
                 cut = _cuts(keys, buckets)
-                full = np.flatnonzero(np.diff(cut)).tolist()
+                full = [k for k in np.flatnonzero(np.diff(cut)).tolist() if lo <= k < hi]
                 del b
                 part = lambda pack_, x: pa.array([pack_(x[cut[k] : cut[k + 1]]) for k in full], pa.binary())  # noqa: B023, E731
                 yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(full, pa.int32()), "block": pa.array([row["block"]] * len(full), pa.int64()),
+                    "bucket": pa.array([k - lo for k in full], pa.int32()), "block": pa.array([row["block"]] * len(full), pa.int64()),
                     "keys": part(sorted_planes, keys), "counts": part(narrow, counts), "wanted": part(bits, wanted),
                 })
 
@@ -425,15 +432,18 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     buckets = max(1, -(-(size[0] or 0) // int(min(BUCKET_TOKENS * growth, MOST_BUCKET_TOKENS))))
     replies, stats = None, []
     for n in range(1, order + 1):
-        asked = _requests(blocks, n, order, buckets).repartitionById(buckets, F.col("bucket"))
-        counted = asked.groupBy("bucket").applyInArrow(_count, "kind byte, bucket int, block long, keys binary, counts binary, n long, own binary, wanted binary")
-        counted = saved(counted, f"grams-{n}", by=["kind"])
-        release_shuffles(spark)
+        counted, slices = None, COUNT_SLICES if n > 2 else 1
+        for lo, hi in _ranges(buckets, slices):
+            asked = _requests(blocks, n, order, buckets, lo, hi).repartitionById(hi - lo, F.col("bucket"))
+            part = asked.groupBy("bucket").applyInArrow(_count, "kind byte, bucket int, block long, keys binary, counts binary, n long, own binary, wanted binary")
+            part = saved(part.withColumn("bucket", F.col("bucket") + lo), f"grams-{n}", by=["kind"])
+            counted = part if counted is None else counted.unionByName(part)
+            release_shuffles(spark)
         stats.append(_statistics(counted.filter("kind = 0")))
         mine = counted.filter("kind = 1").select("block", F.lit(n).alias("part"), "bucket", "counts", "n", "own", "wanted")
         replies = mine if replies is None else replies.unionByName(mine)
     model = Model(stats, whole["starts"])
-    # Both exchanges that are left go in SLICES, so that shuffle files of one slice only are there at a time.
+    # The exchanges that are left go in SLICES, so that shuffle files of one slice only are there at a time.
     run, ddl = _partial(model, buckets, kind)
     tasks = max(1, -(-size[1] // SLICES))
     sums = None
@@ -445,14 +455,12 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     dropped(blocks)
     dropped(replies, "kind=1")
     weights = None
-    for k in range(SLICES):
-        lo, hi = buckets * k // SLICES, buckets * (k + 1) // SLICES
-        if lo < hi:
-            mine = sums.filter((F.col("kind") == 1) & (F.col("bucket") >= lo) & (F.col("bucket") < hi)).select("block", (F.col("bucket") - lo).alias("bucket"), "keys", "a", "b", "c", "asked")
-            part = mine.repartitionById(hi - lo, F.col("bucket")).groupBy("bucket").applyInArrow(_weights, "block long, bucket int, a binary, b binary")
-            part = saved(part.withColumn("bucket", F.col("bucket") + lo), "weights")
-            weights = part if weights is None else weights.unionByName(part)
-            release_shuffles(spark)
+    for lo, hi in _ranges(buckets, SLICES):
+        mine = sums.filter((F.col("kind") == 1) & (F.col("bucket") >= lo) & (F.col("bucket") < hi)).select("block", (F.col("bucket") - lo).alias("bucket"), "keys", "a", "b", "c", "asked")
+        part = mine.repartitionById(hi - lo, F.col("bucket")).groupBy("bucket").applyInArrow(_weights, "block long, bucket int, a binary, b binary")
+        part = saved(part.withColumn("bucket", F.col("bucket") + lo), "weights")
+        weights = part if weights is None else weights.unionByName(part)
+        release_shuffles(spark)
     dropped(sums, "kind=1")
     run, ddl = _final(model, kind)
     parts = sums.filter("kind = 0").select("block", "asks", "ids", "train", "a", "b")
