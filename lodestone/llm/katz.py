@@ -427,7 +427,9 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     whole = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_if("train").alias("starts")).first()
     growth = max(1.0, (whole["bytes"] or 0) / SMALL_CORPUS) ** 0.5
-    blocks = saved(pack(docs, int(min(BLOCK_BYTES * growth, MOST_BLOCK_BYTES))), "blocks")
+    in_slice = F.pmod(F.xxhash64("block"), F.lit(SLICES)).cast("int")
+    blocks = pack(docs, int(min(BLOCK_BYTES * growth, MOST_BLOCK_BYTES))).withColumn("slice", in_slice)
+    blocks = saved(blocks, "blocks", by=["slice"])
     size = blocks.agg(F.sum("n"), F.count("*")).first()
     buckets = max(1, -(-(size[0] or 0) // int(min(BUCKET_TOKENS * growth, MOST_BUCKET_TOKENS))))
     replies, stats = None, []
@@ -448,11 +450,11 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     tasks = max(1, -(-size[1] // SLICES))
     sums = None
     for k in range(SLICES):
-        dealt = lambda df: df.filter(F.pmod(F.xxhash64("block"), F.lit(SLICES)) == k).repartition(tasks, "block").groupBy("block")  # noqa: B023, E731
-        part = saved(dealt(blocks).cogroup(dealt(replies)).applyInArrow(run, ddl), "sums", by=["kind"])
+        dealt = lambda df: df.filter(F.col("slice") == k).repartition(tasks, "block").groupBy("block")  # noqa: B023, E731
+        part = saved(dealt(blocks).cogroup(dealt(replies.withColumn("slice", in_slice))).applyInArrow(run, ddl), "sums", by=["kind"])
+        dropped(blocks, f"slice={k}")
         sums = part if sums is None else sums.unionByName(part)
         release_shuffles(spark)
-    dropped(blocks)
     dropped(replies, "kind=1")
     weights = None
     for lo, hi in _ranges(buckets, SLICES):
