@@ -570,3 +570,13 @@ def test_pipeline(spark, docs, tmp_path):
     assert ids(corpus_pipeline.run(spark, str(tmp_path))) == sorted((r.doc_id for r in taken for _ in range(r.copies)), key=str) != []
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, d.limit(0), str(tmp_path)).count() == 0
+
+
+def test_components_of_chains_in_small_chunks(spark, monkeypatch):
+    """A chain through many chunks, a ring, a star and repeated edges, against a plain walk."""
+    from lodestone.llm import components
+
+    monkeypatch.setattr(components, "CHUNK", 7)
+    edges = [(f"a{i:03d}", f"a{i + 1:03d}") for i in range(40)] + [(f"b{i}", f"b{(i + 1) % 9}") for i in range(9)] + [("c9", f"c{i}") for i in range(9)] * 2
+    got = components.components(spark.createDataFrame(edges[::-1], "a string, b string").repartition(4)).collect()
+    assert sorted(tuple(r) for r in got) == sorted((x, {"a": "a000", "b": "b0", "c": "c0"}[x[0]]) for x in {x for e in edges for x in e})
