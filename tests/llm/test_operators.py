@@ -504,6 +504,34 @@ def test_passages_against_brute_force(spark):
     assert len(want & got) >= 0.9 * len(want) and len(want) >= 20
 
 
+def test_passages_of_frequent_signatures(spark):
+    """Two texts share 60 words, of which 24 others have the first or the last 35: more than FEW hold each signature, and
+    the least holder shares a passage with none."""
+    texts, want = [], []
+    for fam in range(8):
+        whole = prose(2000 + fam, 60).split()
+        for k in range(26):
+            part = whole if k > 23 else whole[:35] if k % 2 else whole[25:]
+            texts.append(prose(10_000 + 100 * fam + 2 * k, 45).split() + part + prose(10_001 + 100 * fam + 2 * k, 45).split())
+        want.append(frozenset((len(texts) - 2, len(texts) - 1)))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    for parts in (1, 4):
+        found = {frozenset((r.doc_id, r.match_doc_id)) for r in passages.repeated_passages(df.repartition(parts)).collect()}
+        assert found == set(want)
+
+
+def test_prefixes_of_runs():
+    """Of n different shingles in a run, its prefix is the n - ceil(0.8 n) + 1 first: ten of 46."""
+    rng = np.random.default_rng(8)
+    for values in (400, 60, 5):
+        h = rng.integers(1, values, 150).astype(np.uint64)
+        starts = rng.choice(100, 12, replace=False)
+        runs = [np.unique(h[s : s + 46]) for s in starts]
+        want = {int(v) for r in runs for v in r[: len(r) - -(-4 * len(r) // 5) + 1]}
+        got = passages.prefixes(h, h, starts, 46, 0.8)
+        assert set(h[got].tolist()) == want
+
+
 def test_compact_windows():
     rng = np.random.default_rng(5)
     v = rng.integers(1, 60, 400).astype(np.uint64)
