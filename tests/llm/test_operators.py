@@ -532,6 +532,62 @@ def test_prefixes_of_runs():
         assert set(h[got].tolist()) == want
 
 
+def test_prefixes_meet():
+    """Runs that are similar share a shingle of their first prefixes or, where one has more repeats, of the first of that
+    one and the second of the other."""
+    rng, met, shares = np.random.default_rng(9), 0, [2 * 0.8 / 1.8, 0.8]
+    for _ in range(2000):
+        x = rng.choice(10**6, 46, replace=False).astype(np.uint64)
+        y = x.copy()
+        y[rng.choice(46, rng.integers(1, 9), replace=False)] = rng.integers(10**6, 10**6 + 9, 1)[0] if rng.random() < 0.5 else y[0]
+        some = rng.choice(46, rng.integers(1, 5), replace=False)
+        y[some] = rng.integers(2 * 10**6, 3 * 10**6, len(some))
+        if len(np.intersect1d(x, y)) < 0.8 * len(np.union1d(x, y)):
+            continue
+        met += 1
+        (own, wide), poor = passages._in_prefixes(x, np.zeros(1, np.int64), 46, shares)
+        (yown, _), ypoor = passages._in_prefixes(y, np.zeros(1, np.int64), 46, shares)
+        less = len(np.unique(y)) < 46
+        assert own.sum() == 6 and wide.sum() == 10 and not poor.any() and (ypoor == (yown & less)).all()
+        assert set(y[yown].tolist()) & set(x[wide if less else own].tolist())
+    assert met > 500
+
+
+def test_passages_of_varied_copies(spark, monkeypatch):
+    """Of a family of changed copies, all that share a passage are linked, though far from all pairs are compared."""
+    rng, base = np.random.default_rng(31), prose(4000, 90).split()
+    texts = []
+    for k in range(48):
+        t = list(base)
+        for i in rng.choice(90, 3, replace=False):
+            t[i] = f"odd{k}x{i}"
+        texts.append(prose(4100 + k, 30).split() + t + prose(4200 + k, 30).split())
+    compared = []
+
+    def counted(pairs, *rest, verified=passages._verified):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(passages, "_verified", counted)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    of = list(range(len(texts)))
+    for r in passages.repeated_passages(df).collect():
+        of = [of[r.doc_id] if x == of[r.match_doc_id] else x for x in of]
+    want = [(i, j) for i in range(len(texts)) for j in range(i) if shared_passages(texts[i], texts[j], 50, 0.8)]
+    assert len(want) > 5 and all(of[i] == of[j] for i, j in want)
+    assert sum(compared) < 500
+
+
+def test_passages_of_equal_texts(spark):
+    """Equal texts are one document in comparisons, and each id is reported."""
+    whole, other = prose(5000, 80), prose(5001, 60)
+    rows = [(7, whole), (None, whole), (5, whole), (5, whole), (9, prose(5002, 20) + " " + whole), (3, other), (4, prose(5003, 49)), (6, prose(5003, 49))]
+    got = [tuple(r) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    copies = [(7, 0, 80, 5, 0, 80, 1.0), (None, 0, 80, 5, 0, 80, 1.0)]
+    assert all(got.count(c) == 1 for c in copies) and len(got) == 3
+    assert {frozenset((r[0], r[3])) for r in got if r not in copies} == {frozenset((5, 9))}
+
+
 def test_compact_windows():
     rng = np.random.default_rng(5)
     v = rng.integers(1, 60, 400).astype(np.uint64)
