@@ -307,3 +307,21 @@ def test_scores_by_task(spark):
     assert failed["doc_recall@1"] == 0.5 and "latency_total_seconds" in failed and "json_parse" not in failed
     none = next(x for x in rows.values() if x["source_dataset"] == "conditionalqa" and not x["answerable"])["metrics"]
     assert "answer_token_f1" not in none and "doc_mrr" in none
+
+
+def test_dense_search_by_blocks_equals_one_by_one(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(-3, 4, 6).astype(float).tolist()) for i in range(300)]
+    rows += [(300 + i, rows[7][1]) for i in range(40)] + [(400, None), (401, [1.0, float("nan")] * 3), (402, [1.0, 2.0]), (403, [None, 1.0, 2.0, 3.0, 4.0, 5.0])]
+    v = spark.createDataFrame(rows, "doc_pos long, embedding array<double>").repartition(3)
+    q = v.filter("doc_pos % 20 = 0 OR doc_pos = 401").select(F.col("doc_pos").alias("query_id"), F.col("embedding").alias("vector"))
+    scored = v.crossJoin(q).select("query_id", "doc_pos", F.round(X.inner_product(F.col("embedding"), F.col("vector")), 6).alias("score"))
+    scored.createOrReplaceTempView("scored")
+    want = spark.sql("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_pos) AS rank FROM scored) WHERE rank <= 5")
+    for block in (10_000, 7):
+        got = retrieval.dense_search_many(v, q, 5, block)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    # No join makes a row for each pair.
+    assert "NestedLoop" not in retrieval.dense_search_many(v.filter("doc_pos < 400"), q.filter("query_id < 400"), 5)._jdf.queryExecution().toString()
