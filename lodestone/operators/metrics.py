@@ -13,9 +13,10 @@ def unique_ids(ids: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(ids, lambda x: F.trim(x.cast("string"))), lambda x: x.isNotNull() & (x != "")))
 
 
-def retrieval_metrics(retrieved: Column, gold: Column, ks: tuple[int, ...] = CUTOFFS) -> dict[str, Column]:
+def retrieval_metrics(retrieved: Column, gold: Column, ks: tuple[int, ...] = CUTOFFS, n: Column | None = None) -> dict[str, Column]:
+    """n: the number of gold ids, where `gold` has only those that are retrieved."""
     r, g = unique_ids(retrieved), unique_ids(gold)
-    n, out = F.size(g), {}
+    n, out = F.size(g) if n is None else n, {}
     for k in ks:
         hits = F.size(F.array_intersect(F.slice(r, 1, k), g))
         out[f"recall_{k}"] = F.when(n > 0, hits / n).otherwise(0.0)

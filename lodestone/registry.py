@@ -291,10 +291,15 @@ _M = "SELECT query_id, label, {} , coalesce(1.0::DOUBLE / list_min(list_filter(l
 
 
 def _measured(spark, sf_dir):
-    hits = dense_topk_multi(spark, sf_dir).groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc_pos"))), lambda s: s["doc_pos"]).alias("retrieved"))
+    """Gold are all vectors of the query's label. Of these the metrics need the number and those among the hits."""
     e = table(spark, sf_dir, "embeddings")
-    gold = e.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "label").join(e.select("label", F.col("vec_id").alias("g")), "label").groupBy("query_id", "label").agg(F.sort_array(F.collect_list("g")).alias("gold"))
-    return hits.join(gold, "query_id").select("query_id", "label", *[c.alias(n) for n, c in metrics.retrieval_metrics(F.col("retrieved"), F.col("gold")).items()])
+    hits = dense_topk_multi(spark, sf_dir).select("query_id", "doc_pos", "rank")
+    members = e.select("label", F.col("vec_id").alias("doc_pos")).filter("label IS NOT NULL AND doc_pos IS NOT NULL").distinct().withColumn("found", F.lit(True))
+    sizes = members.groupBy("label").agg(F.count("*").alias("n"))
+    asked = e.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "label").distinct().join(sizes, "label")
+    rows = hits.join(asked, "query_id").join(members, ["label", "doc_pos"], "left").groupBy("query_id", "label", "n").agg(F.array_sort(F.collect_list(F.struct("rank", "doc_pos", "found"))).alias("hits"))
+    retrieved, gold = F.col("hits.doc_pos"), F.transform(F.filter("hits", lambda h: h["found"]), lambda h: h["doc_pos"])
+    return rows.select("query_id", "label", *[c.alias(n) for n, c in metrics.retrieval_metrics(retrieved, gold, n=F.col("n")).items()])
 
 
 @query(f"WITH {_GOLD} {_M}")

@@ -325,3 +325,26 @@ def test_dense_search_by_blocks_equals_one_by_one(spark):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     # No join makes a row for each pair.
     assert "NestedLoop" not in retrieval.dense_search_many(v.filter("doc_pos < 400"), q.filter("query_id < 400"), 5)._jdf.queryExecution().toString()
+
+
+def test_retrieval_metrics_from_the_gold_among_the_hits(spark):
+    ids = lambda *x: F.array(*map(F.lit, x))
+    whole = metrics.retrieval_metrics(ids("a", "x", "b"), ids("a", "b", "c", "d"))
+    part = metrics.retrieval_metrics(ids("a", "x", "b"), ids("a", "b"), n=F.lit(4))
+    assert {k: value(spark, c) for k, c in whole.items()} == {k: value(spark, c) for k, c in part.items()}
+
+
+def test_measured_queries_hold_no_list_of_a_label(spark, tmp_path):
+    from lodestone import registry
+
+    rows = [(i, [float(i % 7), float(i % 3), 1.0], i % 2) for i in range(200)] + [(200, [1.0, 0.0, 0.0], None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = registry.retrieval_metrics(spark, str(tmp_path))
+    # Two windows or lists of all members of a label would grow with the square of the table.
+    assert "BroadcastNestedLoop" not in found._jdf.queryExecution().toString() and "collect_list(vec_id" not in found._jdf.queryExecution().toString() and "collect_list(g" not in found._jdf.queryExecution().toString()
+    got = {r["query_id"]: r for r in found.collect()}
+    assert sorted(got) == list(range(0, 200, 20))
+    top = sorted(range(200), key=lambda i: (-sum(x * y for x, y in zip(rows[i][1], rows[40][1])), i))[:10]
+    gold = {i for i in range(0, 200, 2)}
+    assert abs(got[40]["recall_10"] - len(gold & set(top)) / 100) < 1e-12 and got[40]["joint_recall_10"] == 0
+    assert got[40]["mrr"] == 1 / (1 + next(n for n, i in enumerate(top) if i in gold))
