@@ -78,12 +78,18 @@ def exact_match(prediction: Column, reference: Column) -> Column:
 
 def token_f1(prediction: Column, reference: Column) -> Column:
     """2 * overlap / (both lengths), with the overlap of multisets; two empty answers are equal. Both token lists are
-    made once a row, and only tokens of both are counted."""
+    made once a row and sorted together; in that order each of the reference's tokens takes one of the prediction's."""
+
+    def step(a: Column, x: Column) -> Column:
+        left = F.when(a["t"] == x["t"], a["left"]).otherwise(0)
+        taken = x["second"] & (left > 0)
+        return F.struct(x["t"].alias("t"), F.when(taken, left - 1).when(x["second"], 0).otherwise(left + 1).alias("left"), F.when(taken, a["n"] + 1).otherwise(a["n"]).alias("n"))
 
     def score(s: Column) -> Column:
         p, r = s["p"], s["r"]
-        count = lambda a, t: F.size(a) - F.size(F.array_remove(a, t))
-        overlap = F.aggregate(F.array_intersect(p, r), F.lit(0), lambda n, t: n + F.least(count(p, t), count(r, t)))
+        side = lambda tokens, second: F.transform(tokens, lambda t: F.struct(t.alias("t"), F.lit(second).alias("second")))
+        start = F.struct(F.lit("").alias("t"), F.lit(0).alias("left"), F.lit(0).alias("n"))
+        overlap = F.aggregate(F.sort_array(F.concat(side(p, False), side(r, True))), start, step, lambda a: a["n"])
         empty = (F.size(p) == 0) | (F.size(r) == 0)
         return F.when(empty, (p == r).cast("double")).otherwise(overlap * F.lit(2.0) / (F.size(p) + F.size(r)))
 

@@ -50,8 +50,9 @@ def set_scores(predicted: Column, reference: Column) -> dict[str, Column]:
 
 
 def average_metrics(scores: DataFrame, by: list[str]) -> DataFrame:
-    """scores (by, metrics map) to (by, metric, value, items): means over the rows that have the metric."""
-    long = scores.select(*by, F.explode("metrics").alias("metric", "value"))
+    """scores (by, metrics map) to (by, metric, value, items): means over the rows that have the metric. From explode
+    Spark derives a filter on the map, and makes all metrics once more for each of its parts to evaluate that early."""
+    long = scores.select(*by, F.explode_outer("metrics").alias("metric", "value")).filter("metric IS NOT NULL")
     return long.groupBy(*by, "metric").agg(F.round(F.avg("value"), 9).alias("value"), F.count("value").alias("items"))
 
 
