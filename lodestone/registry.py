@@ -499,10 +499,10 @@ def group_advantage(spark, sf_dir):
 def _rewrites(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     w = W.partitionBy("conv_id").orderBy("turn")
-    rows = c.select("conv_id", "turn", F.col("text").alias("question"), F.lead("text").over(w).alias("rewrite"), F.collect_list("text").over(w.rowsBetween(W.unboundedPreceding, -1)).alias("context"))
+    rows = c.select("conv_id", "turn", F.col("text").alias("question"), F.lead("text").over(w).alias("rewrite"), F.collect_list("text").over(w.rowsBetween(W.unboundedPreceding, -1)).alias("context"), F.count("text").over(w.rowsBetween(W.unboundedPreceding, -1)).cast("int").alias("context_turns"))
     return rows.filter("rewrite IS NOT NULL AND length(rewrite) >= 3").select(
         F.concat_ws("_", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), "question", "context", F.when(F.col("turn") % 4 == 0, F.col("question")).otherwise(F.col("rewrite")).alias("rewrite"),
-        F.when(F.col("conv_id") % 2 == 0, "even").otherwise("odd").alias("conversation_source"), F.size("context").alias("context_turns"),
+        F.when(F.col("conv_id") % 2 == 0, "even").otherwise("odd").alias("conversation_source"), "context_turns",
     )
 
 
@@ -512,8 +512,10 @@ def _policies(spark, sf_dir):
     words = F.split(X.normalize_text(F.col("text")), " ")
     n = F.size(words)
     part = lambda k, of: F.array_join(F.slice(words, F.floor(n * k / of).cast("int") + 1, F.greatest(F.lit(1), (F.floor(n * (k + 1) / of) - F.floor(n * k / of)).cast("int"))), " ")
-    answers = F.array(F.struct(F.array_join(F.slice(words, 1, 3), " ").alias("answer"), F.lit("").alias("conditions")))
-    return table(spark, sf_dir, "documents").filter(F.trim(X.normalize_text(F.col("text"))) != "").select(
+    solid = "[^" + X.BLANKS[1:-1]
+    start = X.normalize_text(F.regexp_extract("text", f"^{X.BLANKS[:-1]}*(?:{solid}+{X.BLANKS[:-1]}*){{0,3}}", 0))
+    answers = F.array(F.struct(start.alias("answer"), F.lit("").alias("conditions")))
+    return table(spark, sf_dir, "documents").filter(F.col("text").rlike(solid)).select(
         F.col("doc_id").cast("string").alias("id"), F.concat_ws(" ", "source", "lang").alias("title"), part(0, 2).alias("scenario"), part(1, 2).alias("question"), (F.col("doc_id") % 9 == 0).alias("not_answerable"),
         F.array(part(0, 3), part(1, 3), part(2, 3)).alias("evidences"), answers.alias("answers"), F.array(F.col("doc_id").cast("string"), (F.col("doc_id") + 1).cast("string")).alias("gold_doc_ids"),
     )
