@@ -11,15 +11,19 @@ from html.parser import HTMLParser
 from itertools import accumulate, groupby
 from operator import itemgetter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructType
 
 from lodestone.functions import text as X
-from lodestone.functions.udfs import HIDDEN, strip_html, strip_html_value
+from lodestone.functions.udfs import HIDDEN, by_slices, strip_html, strip_html_value
 
 MOST, LEAST, CUTOFF = 1600, 120, 0.45
+#: Documents that a task holds as Python objects at a time, with their chunks.
+PAGES = 64
 CHUNK_DDL = "chunk_no int, id string, text string, title string, url string, section_path array<string>, source_indices array<int>, content_hash string"
 _HEADINGS = {"h1": 1, "h2": 2, "h3": 3, "h4": 4}
 #: Elements that keep their tag as a block, and all that end one.
@@ -122,40 +126,42 @@ def page_blocks(html: str | None) -> list[str]:
     return parser.out
 
 
-def chunk(documents: DataFrame) -> DataFrame:
-    """documents (url, title, contents array<string>), one output row for each chunk."""
+def _by_pages(make, ddl: str):
+    """Function of Arrow batches that makes the rows of each document, PAGES documents at a time."""
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
 
     def run(batches):
-        for pdf in batches:
-            rows = [r for d in pdf.itertuples() for r in chunk_document(d.url or "", d.title or "", list(d.contents) if d.contents is not None else [])]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in CHUNK_DDL.split(", ")])
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAGES):
+                part = zip(*(c.to_pylist() for c in batch.slice(at, PAGES).columns))
+                rows = [dict(zip(schema.names, r)) for d in part for r in make(*d)]
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return run
 
-    return documents.select("url", "title", "contents").mapInPandas(run, CHUNK_DDL)
+
+def chunk(documents: DataFrame) -> DataFrame:
+    """documents (url, title, contents array<string>), one output row for each chunk."""
+    make = lambda url, title, contents: chunk_document(url or "", title or "", contents or [])
+    return documents.select("url", "title", "contents").mapInArrow(_by_pages(make, CHUNK_DDL), CHUNK_DDL)
 
 
 def chunk_pages(pages: DataFrame) -> DataFrame:
     """pages (page_id, url, html), split in blocks first; the title is the first h1."""
 
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for p in pdf.itertuples():
-                blocks = page_blocks(p.html)
-                title = next((strip_html_value(b)[1] for b in blocks if b.startswith("<h1")), "")
-                rows += [(p.page_id, *r) for r in chunk_document(p.url or "", title, blocks)]
-            yield pd.DataFrame(rows, columns=["page_id", *(c.split()[0] for c in CHUNK_DDL.split(", "))])
+    def make(page_id, url, html):
+        blocks = page_blocks(html)
+        title = next((strip_html_value(b)[1] for b in blocks if b.startswith("<h1")), "")
+        return [(page_id, *r) for r in chunk_document(url or "", title, blocks)]
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, " + CHUNK_DDL)
+    ddl = "page_id long, " + CHUNK_DDL
+    return pages.select("page_id", "url", "html").mapInArrow(_by_pages(make, ddl), ddl)
 
 
 def evidence_scores(pairs: DataFrame) -> DataFrame:
     """pairs (evidence_id, evidence_key, chunk_key, ...) with score. Containment is decided in the JVM; difflib compares
     only evidence that no chunk holds or is held by, as its ratio is never above a containment's score."""
-
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
-
+    ratio = by_slices(lambda a, b: SequenceMatcher(None, a, b).ratio(), DoubleType())
     e, c = F.col("evidence_key"), F.col("chunk_key")
     share = 1.0 + F.least(F.length(e), F.length(c)) / F.greatest(F.length(e), F.lit(1))
     held = pairs.withColumn("score", F.when(F.contains(e, c) | F.contains(c, e), share))
